@@ -18,12 +18,16 @@ def kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def is_container(value: Column) -> Column:
-    name = kind(value)
-    return name.startswith("OBJECT") | name.startswith("ARRAY")
+def scalar_text(value: Column) -> Column:
+    """Text of a scalar variant; null for a JSON null, an object or a list.
+
+    Only a text that starts like an object or list needs a look at its type.
+    """
+    text = F.try_variant_get(value, "$", "string")
+    plain = ~F.substring(text, 1, 1).isin("{", "[")
+    return F.when(plain | ~kind(value).rlike("^(OBJECT|ARRAY)"), text)
 
 
 def user_key(user_id: Column) -> Column:
     """Text of a JSON user id; anything that is not a scalar is ``'unknown'``."""
-    text = F.try_variant_get(user_id, "$", "string")
-    return F.coalesce(F.when(~is_container(user_id), text), F.lit(UNKNOWN_USER))
+    return F.coalesce(scalar_text(user_id), F.lit(UNKNOWN_USER))

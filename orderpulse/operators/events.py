@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderpulse.functions.jsontext import kind, to_json_result, user_key
+from orderpulse.functions.jsontext import to_json_result, user_key
 from orderpulse.functions.money import price_or_total_price
 from orderpulse.functions.times import iso_utc, parse_iso
 from orderpulse.schemas import PRICE, RAW_PRICE
@@ -16,38 +16,54 @@ _EVENT_FIELDS = ("order_id variant, user_id variant, product_id variant, "
 _BROKEN = "_broken"
 
 
-def _scalar_text(value: Column) -> Column:
+def _text(value: Column) -> Column:
     return F.try_variant_get(value, "$", "string")
 
 
+def _parsed(value: Column) -> Column:
+    return F.from_json(value, f"{_EVENT_FIELDS}, {_BROKEN} string",
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN})
+
+
+def _blank(value: Column) -> Column:
+    return value.isNull() | (F.trim(value) == "")
+
+
 def parse_events(raw: DataFrame, value: str = "value") -> DataFrame:
-    """One parse of the JSON text into the struct ``event``, next to the raw columns.
+    """The JSON text as struct ``event``, next to the raw columns.
 
     ``malformed`` is true where the text is not a JSON object.
     """
-    schema = f"{_EVENT_FIELDS}, {_BROKEN} string"
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
     text = F.col(value)
-    return (raw
-            .withColumn("event", F.from_json(text, schema, options))
-            .withColumn("malformed", text.isNull() | (F.trim(text) == "")
-                        | F.col(f"event.{_BROKEN}").isNotNull()))
+    return (raw.withColumn("event", _parsed(text))
+            .withColumn("malformed", _blank(text) | F.col(f"event.{_BROKEN}").isNotNull()))
+
+
+def _well_formed(raw: DataFrame, value: str) -> DataFrame:
+    """Only the messages that are JSON objects, as ``event``.
+
+    A filter on the parsed struct would be pushed below the projection and parse
+    every message a second time; unfolding a list of one or no struct does not.
+    """
+    text = F.col(value)
+    valid = F.filter(F.array(_parsed(text)), lambda event: event[_BROKEN].isNull())
+    carried = [c for c in raw.columns if c not in (value, "timestamp")]
+    return raw.filter(~_blank(text)).select(F.explode(valid).alias("event"), *carried)
 
 
 def order_events(raw: DataFrame, value: str = "value") -> DataFrame:
     """Declared order events: a field that does not fit is null, bad JSON is skipped."""
     event = F.col("event")
-    carried = [c for c in raw.columns if c not in (value, "timestamp")]
-    return (parse_events(raw, value).filter(~F.col("malformed"))
-            .select(
-                _scalar_text(event["order_id"]).alias("order_id"),
-                _scalar_text(event["user_id"]).alias("user_id"),
-                _scalar_text(event["product_id"]).alias("product_id"),
-                F.try_variant_get(event["quantity"], "$", "int").alias("quantity"),
-                F.try_variant_get(event["price"], "$", PRICE.simpleString()).alias("price"),
-                parse_iso(event["timestamp"]).alias("timestamp"),
-                event["status"].alias("status"),
-                *carried))
+    parsed = _well_formed(raw, value)
+    return parsed.select(
+        _text(event["order_id"]).alias("order_id"),
+        _text(event["user_id"]).alias("user_id"),
+        _text(event["product_id"]).alias("product_id"),
+        F.try_variant_get(event["quantity"], "$", "int").alias("quantity"),
+        F.try_variant_get(event["price"], "$", PRICE.simpleString()).alias("price"),
+        parse_iso(event["timestamp"]).alias("timestamp"),
+        event["status"].alias("status"),
+        *parsed.columns[1:])
 
 
 def rejects(raw: DataFrame, value: str = "value") -> DataFrame:
@@ -83,18 +99,16 @@ def cast_with_defaults(raw: DataFrame, value: str = "value", *,
             absent = absent | F.is_variant_null(raw_field)
         return F.when(absent, default).otherwise(F.try_variant_get(raw_field, "$", cast))
 
-    user = _scalar_text(event["user_id"])
+    user = _text(event["user_id"])
     if missing_user is not None:
         user = F.coalesce(user, F.lit(missing_user))
-    carried = [c for c in raw.columns if c not in (value, "timestamp")]
-    return (parse_events(raw, value).filter(~F.col("malformed"))
-            .select(
-                user.alias("user_id"),
-                field("price", RAW_PRICE.simpleString(), F.lit(0).cast(RAW_PRICE)).alias("price"),
-                field("quantity", "int", F.lit(1)).alias("quantity"),
-                F.coalesce(parse_iso(event["timestamp"]),
-                           F.current_timestamp()).alias("timestamp"),
-                *carried))
+    parsed = _well_formed(raw, value)
+    return parsed.select(
+        user.alias("user_id"),
+        field("price", RAW_PRICE.simpleString(), F.lit(0).cast(RAW_PRICE)).alias("price"),
+        field("quantity", "int", F.lit(1)).alias("quantity"),
+        F.coalesce(parse_iso(event["timestamp"]), F.current_timestamp()).alias("timestamp"),
+        *parsed.columns[1:])
 
 
 def build_order_event(orders: DataFrame) -> DataFrame:

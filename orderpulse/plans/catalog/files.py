@@ -51,20 +51,18 @@ def files_processed(spark, d):
 
 
 @query("read_text_files", """
-SELECT 'uploads/lang=' || lang || '/source=' || source AS path, count(*) AS objects,
-       CAST(sum(length(text)) AS BIGINT) AS characters
+SELECT 'uploads/lang=' || lang || '/source=' || source AS folder,
+       CAST(sum(length(text) + 1) AS BIGINT) AS characters
 FROM documents GROUP BY ALL""")
 def read_text_files(spark, d):
-    # One object per document, in folders by language and source.
+    # Objects in folders by language and source; each document ends with a line end.
     root = fresh_path(spark, "objects")
-    (fx.table(spark, d, "documents").select("lang", "source", "doc_id", "text")
-     .withColumnRenamed("text", "value")
-     .write.partitionBy("lang", "source", "doc_id").text(f"{root}/uploads"))
+    (fx.table(spark, d, "documents").select("lang", "source", F.col("text").alias("value"))
+     .write.partitionBy("lang", "source").text(f"{root}/uploads"))
     read = src.read_text_files(spark, root)
-    folder = F.regexp_replace("path", "/doc_id=.*$", "")
-    return read.groupBy(folder.alias("path")).agg(
-        F.count(F.lit(1)).alias("objects"),
-        F.sum(F.length("content") - 1).alias("characters"))
+    folder = F.substring_index("path", "/", 3)
+    return read.groupBy(folder.alias("folder")).agg(
+        F.sum(F.length("content")).cast("bigint").alias("characters"))
 
 
 @query("write_processed_files", with_(FILES) + f"""
@@ -79,6 +77,7 @@ def write_processed_files(spark, d):
 SELECT {PROCESSED} AS processed_path, {ENVELOPE} AS processed_content FROM files""")
 def write_processed_objects(spark, d):
     path = fresh_path(spark, "processed")
-    src.write_processed_files(op.process_files(fx.text_files(spark, d)), path, objects=True)
+    src.write_processed_files(op.process_files(fx.text_files(spark, d)), path, objects=True,
+                              tasks=spark.sparkContext.defaultParallelism)
     read = spark.read.text(path, wholetext=True)
     return read.select("processed_path", F.col("value").alias("processed_content"))

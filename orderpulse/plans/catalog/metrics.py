@@ -48,28 +48,28 @@ def _pods():
 
 @query("counter_rate_by_pod", with_(SAMPLES, rate_sql(
     f"metric = 'click' AND namespace = 'default' AND {CONTAINERS}", 300, 60, True, " * 100"))
-    + "SELECT pod, instant, round(rate, 6) AS rate FROM rates")
+    + "SELECT pod, instant, round(rate, 9) AS rate FROM rates")
 def counter_rate_by_pod(spark, d):
     picked = op.select_metric(_samples(spark, d), "click", op.containers_only(),
                               namespace="default")
     return op.counter_rate_by_pod(picked, carry_in=True).withColumn(
-        "rate", F.round(F.col("rate") * 100, 6))
+        "rate", F.round(F.col("rate") * 100, 9))
 
 
 @query("counter_rate_by_pod_in_span", with_(SAMPLES, rate_sql(
     f"metric = 'view' AND namespace = 'default' AND {PODS}", 86400, 3600, False))
-    + "SELECT pod, instant, round(rate, 6) AS rate FROM rates")
+    + "SELECT pod, instant, round(rate, 9) AS rate FROM rates")
 def counter_rate_in_span(spark, d):
     picked = op.select_metric(_samples(spark, d), "view", _pods(), namespace="default")
     return op.counter_rate_by_pod(picked, span=86400, step=3600).withColumn(
-        "rate", F.round("rate", 6))
+        "rate", F.round("rate", 9))
 
 
 @query("counter_rate_5m_in_span", with_(SAMPLES, rate_sql("true", 300, 60, False))
-       + "SELECT pod, instant, round(rate, 6) AS rate FROM rates")
+       + "SELECT pod, instant, round(rate, 9) AS rate FROM rates")
 def counter_rate_5m_in_span(spark, d):
     # Events of one instance are hours apart, so few pairs lie within five minutes.
-    return op.counter_rate_by_pod(_samples(spark, d)).withColumn("rate", F.round("rate", 6))
+    return op.counter_rate_by_pod(_samples(spark, d)).withColumn("rate", F.round("rate", 9))
 
 
 @query("gauge_sum_by_pod", with_(SAMPLES, newest_sql(f"metric = 'signup' AND {CONTAINERS}")) + """

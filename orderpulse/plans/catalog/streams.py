@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from orderpulse.operators import events as ev
 from orderpulse.operators import windows as wi
+from orderpulse.operators.running import published
+from orderpulse.operators.serving import top_users
 from orderpulse.plans.catalog.common import (EV, ITEMS, STATS_COLUMNS, iso, mean_money, money,
                                              query, window_sql, with_)
 from orderpulse.plans.catalog.sources import land
 from orderpulse.session import fresh_path
 from orderpulse.sources import fixtures as fx
-from orderpulse.sources import topics
+from orderpulse.sources import results, topics
 from orderpulse.streaming import queries as op
 from orderpulse.streaming import sinks
 
@@ -141,9 +143,26 @@ def notify_orders(spark, d):
 @query("stream_topic_sink", with_(EV) + f"""
 SELECT * FROM ({window_sql(1)}) WHERE {CLOSED}""")
 def stream_topic_sink(spark, d):
+    path = fresh_path(spark, "topics")
     totals = op.stream_window_totals(fx.order_events_stream(spark, d))
-    written = appended(spark, op.as_messages(totals))
+    sinks.publish(totals, path=path).awaitTermination()
     row = F.from_json("value", "window_start timestamp, window_end timestamp, "
                       "unique_users bigint, total_orders bigint, "
                       "total_revenue decimal(38,2), avg_order_value decimal(38,2)")
-    return written.select(row.alias("row")).select("row.*")
+    return (topics.read_topic(spark, topics.RESULTS_TOPIC, path=path, start="earliest")
+            .select(row.alias("row")).select("row.*"))
+
+
+@query("stream_stats_to_top_users", with_(EV) + f"""
+SELECT {STATS_COLUMNS}, {iso('arg_min(ts, arrival)')} AS first_order,
+       {iso('arg_max(ts, arrival)')} AS last_order,
+       '2024-02-01T00:00:00+00:00' AS window_end
+FROM ev GROUP BY user_id ORDER BY total_spent DESC, user_id LIMIT 10""")
+def stream_stats_to_top_users(spark, d):
+    # Order messages, running statistics, the results topic, and the serving read.
+    path = land(spark, fx.order_messages(spark, d), topics.ORDERS_TOPIC)
+    end = F.lit("2024-02-01").cast("timestamp")
+    stats = op.stream_user_running_stats(topics.read_order_dicts(spark, path=path, stream=True))
+    sinks.publish(stats, path=path, mode="update",
+                  shape=lambda batch: published(batch, end)).awaitTermination()
+    return top_users(results.read_results_bounded(spark, path=path)).drop("arrival")

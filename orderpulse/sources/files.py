@@ -24,12 +24,15 @@ def read_text_files(spark: SparkSession, root: str, prefix: str = "uploads/",
     return files.select(relative.alias("path"), F.col("value").alias("content"))
 
 
-def write_processed_files(processed: DataFrame, path: str, objects: bool = False) -> None:
+def write_processed_files(processed: DataFrame, path: str, objects: bool = False,
+                          tasks: int | None = None) -> None:
     """Append processed files as table rows, or as one text object per key.
 
     The table form packs many small files into few large ones. The object form
     writes one folder per key below ``path``; the line end that closes an envelope
-    is written by the text writer, which ends every object with one.
+    is written by the text writer, which ends every object with one. ``tasks``
+    spreads the objects over that many tasks; it pays off when the input has few
+    partitions, as the cost is per object.
     """
     if not objects:
         processed.write.mode("append").parquet(path)
@@ -37,5 +40,7 @@ def write_processed_files(processed: DataFrame, path: str, objects: bool = False
     content = F.col("processed_content")
     body = F.when(content.endswith("\n"),
                   F.substring(content, F.lit(1), F.length(content) - 1)).otherwise(content)
-    (processed.select("processed_path", body.alias("value"))
-     .write.mode("append").partitionBy("processed_path").text(path))
+    rows = processed.select("processed_path", body.alias("value"))
+    if tasks:
+        rows = rows.repartition(tasks, "processed_path")
+    (rows.write.mode("append").partitionBy("processed_path").text(path))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderpulse.functions.jsontext import is_container
+from orderpulse.functions.jsontext import kind, scalar_text
 from orderpulse.schemas import MONEY, USER_RESULTS
 from orderpulse.sources.topics import RESULTS_TOPIC, read_topic
 
@@ -24,13 +24,12 @@ def parse_results(raw: DataFrame, value: str = "value") -> DataFrame:
     parsed = raw.select("arrival", row.alias("row")).select("arrival", "row.*")
     end = F.col("window_end")
     numeric = end.isNotNull() & ~F.is_variant_null(end) \
-        & (F.schema_of_variant(end) != "STRING")
+        & (kind(end) != "STRING")
 
     def money(name: str) -> Column:
         return F.try_variant_get(F.col(name), "$", MONEY.simpleString()).alias(name)
 
-    user = F.col("user_id")
-    text = {"user_id": F.when(~is_container(user), F.try_variant_get(user, "$", "string")),
+    text = {"user_id": scalar_text(F.col("user_id")),
             "window_end": F.try_variant_get(end, "$", "string")}
     columns = {c: F.col(c) for c in USER_RESULTS.names}
     columns.update({c: e.alias(c) for c, e in text.items()})

@@ -69,11 +69,6 @@ def notifications(events: DataFrame) -> DataFrame:
                  F.coalesce("order_id", F.lit("None"))).alias("message"))
 
 
-def as_messages(results: DataFrame) -> DataFrame:
-    """Result rows as JSON text, one column ``value``."""
-    return results.select(to_json_result(*results.columns).alias("value"))
-
-
 def user_count_messages(counts: DataFrame) -> DataFrame:
     """Per-user window counts as JSON text, the window bounds in epoch milliseconds."""
     return counts.select(to_json_result(

@@ -17,6 +17,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from orderpulse.operators.running import published
 from orderpulse.session import fresh_path
+from orderpulse.sources.topics import RESULTS_TOPIC, messages, write_topic
 
 PUBLISH_EVERY = "1 minute"  # fixed value: one publish a minute
 
@@ -44,16 +45,6 @@ def append_files(df: DataFrame, path: str, *, checkpoint: str | None = None,
     return _triggered(writer, every).start(path)
 
 
-def append_topic(messages: DataFrame, topic: str, servers: str, *, checkpoint: str,
-                 every: str | None = None, **options: str) -> StreamingQuery:
-    """Append ``value`` to a broker topic."""
-    from orderpulse.sources.topics import kafka_options
-    writer = (messages.writeStream.format("kafka").outputMode("append")
-              .options(**kafka_options(servers, **options)).option("topic", topic)
-              .option("checkpointLocation", checkpoint))
-    return _triggered(writer, every).start()
-
-
 def replace_batch(batch: DataFrame, batch_id: int, path: str) -> None:
     """Write one batch into its own folder; writing it again replaces it."""
     batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -85,6 +76,33 @@ def publish_user_stats(stats: DataFrame, path: str, *, mode: str = "update",
                       checkpoint=checkpoint, every=every)
 
 
+def publish(results: DataFrame, topic: str = RESULTS_TOPIC, *, mode: str = "append",
+            path: str | None = None, servers: str | None = None,
+            shape: Callable[[DataFrame], DataFrame] | None = None,
+            checkpoint: str | None = None, every: str | None = None,
+            **options: str) -> StreamingQuery:
+    """Write every batch to a topic as JSON text.
+
+    In a landed topic the batch is the offset: a user has one row per batch, so
+    that is the order in which the rows of a user arrived. A broker gets a batch
+    again if it failed half way; readers that keep the newest row do not mind.
+    """
+    if (servers is None) == (path is None):
+        raise ValueError("give either servers or path")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = shape(batch) if shape else batch
+        if servers:
+            write_topic(rows, topic, servers=servers, **options)
+        else:
+            replace_batch(messages(rows, F.lit(batch_id)), batch_id, f"{path}/{topic}")
+
+    where = checkpoint_path(results.sparkSession, "publish", checkpoint)
+    writer = (results.writeStream.outputMode(mode).foreachBatch(write)
+              .option("checkpointLocation", where))
+    return _triggered(writer, every).start()
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """All batches of such a table, with ``batch_id``."""
     return spark.read.option("basePath", path).parquet(path)
