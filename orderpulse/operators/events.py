@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderpulse.functions.jsontext import to_json_result, user_key
+from orderpulse.functions.jsontext import scalar_text, to_json_result, user_key
 from orderpulse.functions.money import price_or_total_price
 from orderpulse.functions.times import iso_utc, parse_iso
 from orderpulse.schemas import PRICE, RAW_PRICE
@@ -138,16 +138,43 @@ def _present(df: DataFrame, name: str) -> Column:
     return _truthy(F.col(name), is_text)
 
 
+def parse_order_posts(raw: DataFrame, value: str = "value") -> DataFrame:
+    """Order posts from JSON text, under their position on the topic as ``id``.
+
+    A post that is no JSON object has no user and is refused for that. A field that
+    is left out is null here and gets its default later; one that is there but is
+    no number sets ``bad_number``.
+    """
+    post = F.from_json(F.col(value), "user_id variant, product_id variant, "
+                       "quantity variant, price variant, total_price variant")
+    fields = raw.select(F.col("arrival").alias("id"), F.col("timestamp").alias("created_at"),
+                        post.alias("post"))
+    price = F.try_variant_get("post.price", "$", PRICE.simpleString())
+    total = F.try_variant_get("post.total_price", "$", PRICE.simpleString())
+    quantity = F.try_variant_get("post.quantity", "$", "int")
+
+    def bad(name: str, number: Column) -> Column:
+        return F.col(f"post.{name}").isNotNull() & number.isNull()
+
+    bad_total = F.col("post.price").isNull() & bad("total_price", total)
+    return fields.select(
+        "id", F.try_variant_get("post.user_id", "$", "bigint").alias("user_id"),
+        scalar_text(F.col("post.product_id")).alias("product_id"),
+        quantity.alias("quantity"), price.alias("price"), total.alias("total_price"),
+        "created_at",
+        (bad("price", price) | bad_total | bad("quantity", quantity)).alias("bad_number"))
+
+
 def validate_order(posts: DataFrame) -> DataFrame:
     """Posts with ``error``: user and product must be given; 0 and '' do not count.
 
-    A null price would be stored without an event, so it is refused here too;
-    a post that leaves the price out is stored with 0.
+    A post with a price or quantity that is no number (``bad_number``), null
+    included, would be stored without an event or not at all, so it is refused too.
     """
     ok = _present(posts, "user_id") & _present(posts, "product_id")
     error = F.when(~ok, "User ID and Product ID required")
-    if "price_is_null" in posts.columns:
-        error = error.when(F.col("price_is_null"), "Price must be a number")
+    if "bad_number" in posts.columns:
+        error = error.when(F.col("bad_number"), "Price and quantity must be numbers")
     return posts.withColumn("error", error)
 
 
@@ -196,7 +223,9 @@ def reject_duplicate_email(new: DataFrame, existing: DataFrame, order: str) -> D
     over the tasks, because its rows are matched on the e-mail and ``order``.
     """
     first = new.groupBy("email").agg(F.min(order).alias(order))
-    winners = first.join(existing.select("email"), "email", "left_anti")
+    taken = existing.select("email").distinct().withColumn("_taken", F.lit(True))
+    # An anti join would be moved below the aggregate, to where all copies still are.
+    winners = first.join(taken, "email", "left").filter("_taken IS NULL").drop("_taken")
     return (new.join(winners.withColumn("_won", F.lit(True)), ["email", order], "left")
             .withColumn("error", F.when(F.col("_won").isNull(), "Email already exists"))
             .drop("_won"))

@@ -44,7 +44,7 @@ def _present_labels(samples: DataFrame) -> list[str]:
 
 def _grew(value: Column, before: Column) -> Column:
     # A counter that fell was reset, and has counted from 0 since.
-    return F.when(value >= before, value - before).otherwise(value)
+    return F.when(value >= before, value - before).when(value < before, value)
 
 
 def counter_rate_by_pod(samples: DataFrame, *, span: int = 300, step: int = 60,
@@ -57,21 +57,23 @@ def counter_rate_by_pod(samples: DataFrame, *, span: int = 300, step: int = 60,
     span; with ``carry_in`` a sample also counts what it grew over its predecessor
     before the span. Values are not extrapolated to the edges of the span.
 
-    Samples are cut into cells of one series and one step. Neighbours inside a
-    cell are found per cell, so the rows of a busy series are spread over time;
-    only one row per cell goes on to the comparison across cells, and sums per pod
-    and step come before the spread over the instants.
+    Copies of a sample are folded in each task first. Samples are then cut into
+    cells of one series and one step, so the rows of a busy series are spread over
+    time, and a cell holds no more rows than a step has timestamps. One row per
+    cell goes on to the comparison across cells, and sums per pod and step come
+    before the spread over the instants.
     """
     if span % step:
         raise ValueError("span must be a multiple of step")
     series = _present_labels(samples)
     # The first instant at or after the sample, in seconds.
     cell = F.ceil(F.unix_micros("ts") / F.lit(step * 1_000_000)) * step
-    cells = samples.select(*series, "ts", "value", cell.alias("cell"))
+    single = samples.groupBy(*series, "ts").agg(F.max("value").alias("value"))
+    cells = single.withColumn("cell", cell)
     in_cell = W.partitionBy(*series, "cell").orderBy("ts")
     cells = (cells
-             .withColumn("grew", _grew(F.col("value"), F.lag("value").over(in_cell)))
-             .withColumn("grew", F.when(F.lag("value").over(in_cell).isNotNull(), F.col("grew")))
+             .withColumn("was", F.lag("value").over(in_cell))
+             .withColumn("grew", _grew(F.col("value"), F.col("was")))
              .groupBy(*series, "cell")
              .agg(F.sum("grew").alias("inside"),
                   F.min_by("value", "ts").alias("first"),
@@ -80,8 +82,7 @@ def counter_rate_by_pod(samples: DataFrame, *, span: int = 300, step: int = 60,
     cells = (cells
              .withColumn("last_before", F.lag("last").over(over_cells))
              .withColumn("cell_before", F.lag("cell").over(over_cells))
-             .withColumn("across", F.when(F.col("last_before").isNotNull(),
-                                          _grew(F.col("first"), F.col("last_before")))))
+             .withColumn("across", _grew(F.col("first"), F.col("last_before"))))
     whole = span // step
     gap = ((F.col("cell") - F.col("cell_before")) / step).cast("int")
     reach = F.lit(whole) if carry_in else F.lit(whole) - gap

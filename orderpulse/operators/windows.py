@@ -42,10 +42,11 @@ def window_totals(events: DataFrame, size: str = "1 minute", slide: str | None =
 
 
 def user_window_counts(events: DataFrame, size: str = "1 minute",
-                       ts: str = "ingest_ts") -> DataFrame:
+                       ts: str = "ingest_ts", count: Column | None = None) -> DataFrame:
     """Orders of each user in each window of arrival time."""
+    orders = F.count(F.lit(1)) if count is None else count
     counted = events.groupBy(F.window(ts, size).alias("window"), "user_id").agg(
-        F.count(F.lit(1)).alias("order_count"))
+        orders.alias("order_count"))
     return counted.select("user_id", "order_count", *window_bounds(F.col("window")))
 
 

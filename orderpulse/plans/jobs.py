@@ -21,6 +21,29 @@ from orderpulse.sources import files, results, tables, topics
 from orderpulse.streaming import queries, sinks
 
 
+POSTS_TOPIC = "order-posts"
+
+
+def order_writer_job(spark: SparkSession, source: dict, orders: str, rejected: str, out: dict,
+                     *, checkpoint: str, every: str | None = "10 seconds") -> StreamingQuery:
+    """Order posts to the orders table and the order events topic; refused posts, with
+    the reason, to a side table.
+
+    The events are built from the rows as stored, so table and topic agree, and a
+    batch that runs again writes the same rows under the same keys.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        posts = ev.parse_order_posts(batch)
+        sinks.replace_batch(tables.order_rows(posts), batch_id, orders)
+        sinks.replace_batch(ev.refused(ev.validate_order(posts)), batch_id, rejected)
+        stored = spark.read.parquet(f"{orders}/batch_id={batch_id}")
+        sinks.send(ev.build_order_event(stored), batch_id, topics.ORDERS_TOPIC,
+                   offset=F.col("order_id"), **out)
+
+    posts = topics.read_topic(spark, stream=True, **{"topic": POSTS_TOPIC, **source})
+    return sinks.run_batches(posts, write, "append", checkpoint=checkpoint, every=every)
+
+
 def event_time_job(spark: SparkSession, source: dict, out: dict, *, checkpoint: str,
                    size: str = "1 minute", every: str | None = "10 seconds") -> StreamingQuery:
     """Order events to window totals on the results topic, each window once."""
@@ -34,7 +57,8 @@ def processing_time_job(spark: SparkSession, source: dict, out: dict, *, checkpo
                         every: str | None = "10 seconds") -> StreamingQuery:
     """Messages to counts per user and window of arrival, on the results topic."""
     keyed = ev.parse_user_key(topics.read_topic(spark, stream=True, **source))
-    counts = queries.count_windows(queries.stream_user_window_counts(keyed, size))
+    counts = queries.count_windows(queries.stream_user_window_counts(
+        keyed, size, heartbeat=every is not None))
     return sinks.publish(counts, shape=queries.user_count_messages,
                          checkpoint=checkpoint, every=every, **out)
 
@@ -95,6 +119,13 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--topic", default=topics.ORDERS_TOPIC)
         job.add_argument("--out", help="folder of the table to write")
         job.add_argument("--checkpoint", required=True)
+    job = jobs.add_parser("order-writer")
+    where = job.add_mutually_exclusive_group(required=True)
+    where.add_argument("--servers", help="brokers of posts and events topic")
+    where.add_argument("--path", help="folder of landed topics")
+    job.add_argument("--topic", default=POSTS_TOPIC)
+    for option in ("--orders", "--rejected", "--checkpoint"):
+        job.add_argument(option, required=True)
     job = jobs.add_parser("files")
     job.add_argument("--root", required=True)
     job.add_argument("--out", required=True)
@@ -116,6 +147,10 @@ def main(argv: list[str] | None = None) -> None:
         return
     place = {"servers": args.servers} if args.servers else {"path": args.path}
     source = {"topic": args.topic, **place}
+    if args.job == "order-writer":
+        order_writer_job(spark, source, args.orders, args.rejected, place,
+                         checkpoint=args.checkpoint).awaitTermination()
+        return
     if args.job in ("notifications", "rejects"):
         run = notification_job if args.job == "notifications" else rejects_job
         run(spark, source, args.out, checkpoint=args.checkpoint).awaitTermination()

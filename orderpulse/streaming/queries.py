@@ -30,15 +30,25 @@ def stream_window_totals(events: DataFrame, size: str = "1 minute", slide: str |
 
 
 def stream_user_window_counts(keyed: DataFrame, size: str = "1 minute",
-                              ts: str | None = None) -> DataFrame:
+                              ts: str | None = None, heartbeat: bool = False) -> DataFrame:
     """Orders per user and window of processing time.
 
     The time of arrival is the time of the micro-batch, or the column ``ts``, such
     as the broker's. It never runs late, so the watermark has no slack and bounds
-    the state; a window is given out by the first batch after its end.
+    the state. A window is given out by the first batch with rows after its end;
+    with ``heartbeat`` a clock row each second stands in for them; it moves the
+    watermark and is not counted.
     """
-    arrived = keyed.withColumn("ingest_ts", F.col(ts) if ts else F.current_timestamp())
-    return user_window_counts(arrived.withWatermark("ingest_ts", "0 seconds"), size)
+    when = F.col(ts) if ts else F.current_timestamp()
+    arrived = keyed.select("user_id", when.alias("ingest_ts"), F.lit(False).alias("beat"))
+    if heartbeat:
+        clock = keyed.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load()
+        arrived = arrived.unionByName(clock.select(
+            F.lit(None).cast("string").alias("user_id"),
+            F.current_timestamp().alias("ingest_ts"), F.lit(True).alias("beat")))
+    timed = arrived.withWatermark("ingest_ts", "0 seconds")
+    counts = user_window_counts(timed, size, count=F.count_if(~F.col("beat")))
+    return counts.filter("order_count > 0") if heartbeat else counts
 
 
 def stream_user_running_stats(events: DataFrame, on_bad_value: str = "drop") -> DataFrame:

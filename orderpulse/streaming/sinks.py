@@ -50,6 +50,15 @@ def replace_batch(batch: DataFrame, batch_id: int, path: str) -> None:
     batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def run_batches(df: DataFrame, write: Callable[[DataFrame, int], None], mode: str, *,
+                checkpoint: str | None = None, every: str | None = None) -> StreamingQuery:
+    """Call ``write`` with every batch and its number."""
+    where = checkpoint_path(df.sparkSession, "batches", checkpoint)
+    writer = (df.writeStream.outputMode(mode).foreachBatch(write)
+              .option("checkpointLocation", where))
+    return _triggered(writer, every).start()
+
+
 def each_batch(df: DataFrame, path: str, mode: str, *,
                shape: Callable[[DataFrame], DataFrame] | None = None,
                checkpoint: str | None = None, every: str | None = None) -> StreamingQuery:
@@ -57,10 +66,7 @@ def each_batch(df: DataFrame, path: str, mode: str, *,
     def write(batch: DataFrame, batch_id: int) -> None:
         replace_batch(shape(batch) if shape else batch, batch_id, path)
 
-    where = checkpoint_path(df.sparkSession, "each-batch", checkpoint)
-    writer = (df.writeStream.outputMode(mode).foreachBatch(write)
-              .option("checkpointLocation", where))
-    return _triggered(writer, every).start()
+    return run_batches(df, write, mode, checkpoint=checkpoint, every=every)
 
 
 def publish_user_stats(stats: DataFrame, path: str, *, mode: str = "update",
@@ -76,31 +82,33 @@ def publish_user_stats(stats: DataFrame, path: str, *, mode: str = "update",
                       checkpoint=checkpoint, every=every)
 
 
-def publish(results: DataFrame, topic: str = RESULTS_TOPIC, *, mode: str = "append",
-            path: str | None = None, servers: str | None = None,
-            shape: Callable[[DataFrame], DataFrame] | None = None,
-            checkpoint: str | None = None, every: str | None = None,
-            **options: str) -> StreamingQuery:
-    """Write every batch to a topic as JSON text.
+def send(rows: DataFrame, batch_id: int, topic: str, *, path: str | None = None,
+         servers: str | None = None, offset: Column | None = None, **options: str) -> None:
+    """Write one batch to a topic as JSON text.
 
-    In a landed topic the batch is the offset: a user has one row per batch, so
-    that is the order in which the rows of a user arrived. A broker gets a batch
-    again if it failed half way; readers that keep the newest row do not mind.
+    In a landed topic the offset is the batch unless given: a user has one row per
+    batch, so that is the order in which the rows of a user arrived. A broker gets
+    a batch again if it failed half way; readers that keep the newest row do not
+    mind.
     """
     if (servers is None) == (path is None):
         raise ValueError("give either servers or path")
+    if servers:
+        write_topic(rows, topic, servers=servers, **options)
+    else:
+        number = F.lit(batch_id) if offset is None else offset
+        replace_batch(messages(rows, number), batch_id, f"{path}/{topic}")
+
 
+def publish(results: DataFrame, topic: str = RESULTS_TOPIC, *, mode: str = "append",
+            shape: Callable[[DataFrame], DataFrame] | None = None,
+            checkpoint: str | None = None, every: str | None = None,
+            **place: str) -> StreamingQuery:
+    """Send every batch, after ``shape``, to a topic; ``place`` as for ``send``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = shape(batch) if shape else batch
-        if servers:
-            write_topic(rows, topic, servers=servers, **options)
-        else:
-            replace_batch(messages(rows, F.lit(batch_id)), batch_id, f"{path}/{topic}")
-
-    where = checkpoint_path(results.sparkSession, "publish", checkpoint)
-    writer = (results.writeStream.outputMode(mode).foreachBatch(write)
-              .option("checkpointLocation", where))
-    return _triggered(writer, every).start()
+        send(shape(batch) if shape else batch, batch_id, topic, **place)
+
+    return run_batches(results, write, mode, checkpoint=checkpoint, every=every)
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:

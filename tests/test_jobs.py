@@ -29,6 +29,36 @@ def messages(spark, place):
     return [json.loads(r.value) for r in read.collect()]
 
 
+def test_order_writer_to_running_totals(spark, tmp_path):
+    place = {"path": str(tmp_path)}
+    land(spark, tmp_path, jobs.POSTS_TOPIC, '{"user_id":1,"product_id":"p","total_price":60}',
+         '{"user_id":0,"product_id":"p"}', "nope", '{"user_id":1,"product_id":"p","quantity":3}')
+    orders, refused = str(tmp_path / "orders"), str(tmp_path / "refused")
+    for _ in range(2):  # with nothing new, the second run changes nothing
+        jobs.order_writer_job(spark, place, orders, refused, place,
+                              checkpoint=str(tmp_path / "cp"), every=None).awaitTermination()
+    stored = tables.scan_orders(spark, path=orders).orderBy("id").collect()
+    assert [(r.id, float(r.total_price), r.quantity) for r in stored] == [
+        (0, 60.0, 1), (3 * 4096, 0.0, 3)]
+    assert spark.read.parquet(refused).count() == 2
+    events = topics.read_order_events(spark, **place).orderBy("arrival").collect()
+    assert [r.order_id for r in events] == ["0", str(3 * 4096)]
+    jobs.running_totals_job(spark, place, place, checkpoint=str(tmp_path / "c2"),
+                            every=None).awaitTermination()
+    (top,) = jobs.top_users_job(spark, place).collect()
+    assert (top.user_id, top.total_orders, float(top.total_spent)) == ("1", 2, 60.0)
+
+
+def test_generated_keys_do_not_repeat(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    posts = spark.createDataFrame([(1, "p", 1.0, None)] * 3,
+                                  "user_id long, product_id string, price double, "
+                                  "total_price double")
+    for _ in range(2):
+        tables.append_orders(posts, path)
+    assert tables.scan_orders(spark, path=path).select("id").distinct().count() == 6
+
+
 def test_event_time_job(spark, place, tmp_path):
     jobs.event_time_job(spark, place, place, checkpoint=str(tmp_path / "cp"),
                         every=None).awaitTermination()

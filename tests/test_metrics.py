@@ -57,6 +57,11 @@ def test_reset_counts_the_new_value(spark):
     assert rates(samples(spark, rows))[("a", 60.0)] == pytest.approx(8 / 300)
 
 
+def test_copies_of_a_sample_count_once(spark):
+    rows = [("a", "x", 10, 1.0)] * 50 + [("a", "x", 20, 7.0)] * 50
+    assert rates(samples(spark, rows))[("a", 60.0)] == pytest.approx(6 / 300)
+
+
 def test_span_is_open_on_the_left(spark):
     rows = [("a", "x", 0, 1.0), ("a", "x", 300, 7.0)]
     assert rates(samples(spark, rows)) == {}

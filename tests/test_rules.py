@@ -246,7 +246,7 @@ def test_orders_for_user_compares_text(spark):
 def test_validation(spark):
     posts = spark.createDataFrame([(1, "p", False), (0, "p", False), (1, "", False),
                                    (None, "p", False), (1, "p", True)],
-                                  "user_id long, product_id string, price_is_null boolean")
+                                  "user_id long, product_id string, bad_number boolean")
     errors = [r.error is None for r in ev.validate_order(posts).collect()]
     assert errors == [True, False, False, False, False]
     products = spark.createDataFrame([("n", 0.0), ("n", None), ("", 1.0)],
@@ -255,6 +255,20 @@ def test_validation(spark):
         True, False, False]
 
 
+def test_order_posts_from_json(spark):
+    texts = ('{"user_id":1,"product_id":"p","total_price":20,"price":10.5,"quantity":2}',
+             '{"user_id":"2","product_id":7,"total_price":20}',
+             '{"user_id":3,"product_id":"p"}',
+             '{"user_id":4,"product_id":"p","price":null,"total_price":20}',
+             '{"user_id":5,"product_id":"p","quantity":"x"}',
+             '{"user_id":0,"product_id":"p"}', '{"user_id":6,"product_id":""}', "nope")
+    posts = ev.validate_order(ev.parse_order_posts(raw(spark, *texts)))
+    assert [r.id for r in ev.refused(posts).orderBy("id").collect()] == [3, 4, 5, 6, 7]
+    rows = ev.new_orders(ev.accepted(posts)).orderBy("id").collect()
+    assert [(r.user_id, r.product_id, r.quantity, r.total_price) for r in rows] == [
+        (1, "p", 2, D("10.50")), (2, "7", 1, 20), (3, "p", 1, 0)]
+
+
 def test_duplicate_email(spark):
     new = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id long, email string")
     old = spark.createDataFrame([("b",)], "email string")

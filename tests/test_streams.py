@@ -1,6 +1,7 @@
 """Streams fed file by file: equal to batch, late rows, restart, sinks."""
 
 import random
+import time
 from datetime import datetime, timedelta
 from decimal import Decimal as D
 
@@ -123,6 +124,22 @@ def test_user_counts_by_batch_time(spark, feed, tmp_path):
     assert query.exception() is None
 
 
+def test_heartbeat_closes_a_window_without_new_rows(spark, feed, tmp_path):
+    feed.add(("a", 1), ("a", 2), (None, 3))
+    counts = queries.stream_user_window_counts(feed.stream(), "2 seconds", heartbeat=True)
+    out = str(tmp_path / "out")
+    query = sinks.append_files(counts, out, checkpoint=str(tmp_path / "cp"), every="1 second")
+    try:
+        found, deadline = [], time.monotonic() + 60
+        while not found and time.monotonic() < deadline:
+            time.sleep(1)
+            if query.recentProgress:
+                found = spark.read.schema(counts.schema).parquet(out).collect()
+    finally:
+        query.stop()
+    assert {(r.user_id, r.order_count) for r in found} == {("a", 2), (None, 1)}
+
+
 @pytest.mark.parametrize("mode", ["update", "complete"])
 def test_running_stats_survive_a_restart(spark, feed, tmp_path, mode):
     out = str(tmp_path / "stats")
