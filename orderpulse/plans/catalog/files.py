@@ -51,17 +51,20 @@ def files_processed(spark, d):
 
 
 @query("read_text_files", """
-SELECT 'uploads/lang=' || lang || '/source=' || source AS folder,
+SELECT 'uploads/lang=' || lang || '/source=' || source AS folder, count(*) AS objects,
        CAST(sum(length(text) + 1) AS BIGINT) AS characters
 FROM documents GROUP BY ALL""")
 def read_text_files(spark, d):
-    # Objects in folders by language and source; each document ends with a line end.
+    # One object per document; the text writer ends it with a line end.
     root = fresh_path(spark, "objects")
-    (fx.table(spark, d, "documents").select("lang", "source", F.col("text").alias("value"))
-     .write.partitionBy("lang", "source").text(f"{root}/uploads"))
+    (fx.table(spark, d, "documents").repartition(spark.sparkContext.defaultParallelism, "doc_id")
+     .select("lang", "source", F.col("text").alias("value"))
+     .write.option("maxRecordsPerFile", 1).partitionBy("lang", "source")
+     .text(f"{root}/uploads"))
     read = src.read_text_files(spark, root)
     folder = F.substring_index("path", "/", 3)
     return read.groupBy(folder.alias("folder")).agg(
+        F.count(F.lit(1)).alias("objects"),
         F.sum(F.length("content")).cast("bigint").alias("characters"))
 
 

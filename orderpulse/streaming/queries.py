@@ -61,9 +61,21 @@ def stream_user_running_stats(events: DataFrame, on_bad_value: str = "drop") ->
 
 
 def deduplicate_stream(events: DataFrame, key: str = "order_id", ts: str = "timestamp",
-                       within: str = "10 minutes") -> DataFrame:
-    """Each key once; copies that come within the delay are dropped."""
-    return events.withWatermark(ts, within).dropDuplicatesWithinWatermark([key])
+                       within: str = "10 minutes", spread: int = 16,
+                       position: str = "arrival") -> DataFrame:
+    """Each key once; copies that come within the delay are dropped.
+
+    The copies of one key are first spread over ``spread`` tasks by their
+    ``position``, each of which lets one through, so that a key with very many
+    copies does not load one task with all of them. With ``spread`` 1 there is
+    one stage, which halves the state where copies are known to be few.
+    """
+    timed = events.withWatermark(ts, within)
+    if spread > 1:
+        salt = F.pmod(F.xxhash64(position), F.lit(spread))
+        timed = (timed.withColumn("_salt", salt)
+                 .dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt"))
+    return timed.dropDuplicatesWithinWatermark([key])
 
 
 def count_windows(df: DataFrame, name: str = "windows") -> DataFrame:

@@ -118,6 +118,42 @@ def test_hot_key_newest_rows_and_copies(hot, hot_events):
     assert kept == first
 
 
+def test_hot_product_is_split_in_the_join(spark, tmp_path):
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    number = F.col("id")
+    product = F.when(number % 3 != 0, "p0").otherwise(F.concat(F.lit("q"), number.cast("string")))
+    rows = spark.range(200_000, numPartitions=8)
+    tables = {
+        "items": rows.select(number.alias("order_id"), F.lit(1).alias("line_number"),
+                             F.lit(1).alias("quantity"), F.rand(1).alias("line_price"),
+                             product.alias("product_id")),
+        "orders": rows.select(number.alias("order_id"), (number % 100).alias("user_id")),
+        "products": rows.select(product.alias("product_id")).distinct().withColumn(
+            "name", F.col("product_id"))}
+    read = {}
+    for name, table in tables.items():
+        table.write.parquet(f"{tmp_path}/{name}")
+        read[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        lines = orders.order_lines(read["orders"], read["items"], read["products"])
+        assert lines.count() == 200_000
+        lines.write.parquet(f"{tmp_path}/lines")
+        lines.tail(1)
+        text = plan(lines)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "skew=true" in text
+    assert spark.read.parquet(f"{tmp_path}/lines").filter("name <> product_id").count() == 0
+
+
 def test_hot_user_profile_and_hot_email(spark, hot, hot_events):
     spending = hot_events.select("user_id", (F.col("price") * F.col("quantity")).alias("total_price"))
     users = spark.createDataFrame([("hot", "H", "h@x"), ("none", "N", "n@x")],

@@ -164,10 +164,12 @@ def test_running_stats_survive_a_restart(spark, feed, tmp_path, mode):
         (k, r.total_spent) for k, r in latest.items()}
 
 
-def test_duplicates_are_dropped_across_batches(spark, feed, tmp_path):
-    feed.add(("a", 10), ("a", 11))
-    feed.add(("a", 12), ("b", 13))
-    kept = queries.deduplicate_stream(feed.stream(), "user_id")
+@pytest.mark.parametrize("spread", [1, 4])
+def test_duplicates_are_dropped_across_batches(spark, feed, tmp_path, spread):
+    feed.add(*[("a", second) for second in range(10, 40)])
+    feed.add(("a", 12), ("b", 13), ("b", 13))
+    feed.add(("a", 50), ("b", 60))
+    kept = queries.deduplicate_stream(feed.stream(), "user_id", spread=spread)
     _, got = run(spark, kept, tmp_path / "out", tmp_path / "cp")
     assert sorted(r.user_id for r in got.collect()) == ["a", "b"]
 
