@@ -66,10 +66,18 @@ def order_events(raw: DataFrame, value: str = "value") -> DataFrame:
         *parsed.columns[1:])
 
 
-def rejects(raw: DataFrame, value: str = "value") -> DataFrame:
-    """The messages that are no JSON object, with the reason; goes to a side table."""
-    return (parse_events(raw, value).filter("malformed")
-            .select(*raw.columns, F.lit("malformed json").alias("reason")))
+def rejects(raw: DataFrame, value: str = "value", timed: bool = False) -> DataFrame:
+    """The messages that are no JSON object, with the reason; goes to a side table.
+
+    With ``timed`` also those without a readable event time, which belong to no
+    window of event time.
+    """
+    event = F.col("event")
+    reason = F.when(_blank(F.col(value)) | event[_BROKEN].isNotNull(), "malformed json")
+    if timed:
+        reason = reason.when(parse_iso(event["timestamp"]).isNull(), "no event time")
+    return (raw.withColumn("event", _parsed(F.col(value)))
+            .select(*raw.columns, F.explode(F.array_compact(F.array(reason))).alias("reason")))
 
 
 def parse_user_key(raw: DataFrame, value: str = "value") -> DataFrame:

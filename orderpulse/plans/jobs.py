@@ -83,9 +83,9 @@ def notification_job(spark: SparkSession, source: dict, out: str, *, checkpoint:
 
 def rejects_job(spark: SparkSession, source: dict, out: str, *, checkpoint: str,
                 every: str | None = "10 seconds") -> StreamingQuery:
-    """Messages that are no JSON object to a side table."""
+    """Messages that are no JSON object or have no event time to a side table."""
     raw = topics.read_topic(spark, stream=True, **source)
-    return sinks.append_files(ev.rejects(raw), out, checkpoint=checkpoint, every=every)
+    return sinks.append_files(ev.rejects(raw, timed=True), out, checkpoint=checkpoint, every=every)
 
 
 def file_job(spark: SparkSession, root: str, out: str, *, checkpoint: str,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 PRICE = T.DecimalType(10, 2)      # a price as declared on the order topic
-RAW_PRICE = T.DecimalType(18, 6)  # a price as a processor reads it from JSON
+RAW_PRICE = T.DecimalType(28, 6)  # a price as a processor reads it from JSON
 MONEY = T.DecimalType(38, 2)      # every sum of money
 
 ORDER_EVENTS = T.StructType([

@@ -35,13 +35,12 @@ def checkpoint_path(spark: SparkSession, name: str, path: str | None = None) ->
 
 def append_files(df: DataFrame, path: str, *, checkpoint: str | None = None,
                  every: str | None = None, form: str = "parquet",
-                 name: str | None = None) -> StreamingQuery:
-    """Append finished rows to files, exactly once."""
-    where = checkpoint_path(df.sparkSession, name or "append", checkpoint)
+                 partition_by: tuple[str, ...] = ()) -> StreamingQuery:
+    """Append finished rows to files, exactly once; ``partition_by`` names columns, such
+    as a date, whose folders later reads can skip."""
+    where = checkpoint_path(df.sparkSession, "append", checkpoint)
     writer = (df.writeStream.format(form).outputMode("append")
-              .option("checkpointLocation", where))
-    if name:
-        writer = writer.queryName(name)
+              .partitionBy(*partition_by).option("checkpointLocation", where))
     return _triggered(writer, every).start(path)
 
 
@@ -122,13 +121,13 @@ def newest_by_key(batches: DataFrame, key: str) -> DataFrame:
     return (batches.withColumn("_rank", rank).filter("_rank = 1").drop("_rank", "batch_id"))
 
 
-def upsert_window_items(items: DataFrame, path: str, *, checkpoint: str | None = None,
+def upsert_window_items(items: DataFrame, path: str, *, mode: str = "append",
+                        checkpoint: str | None = None,
                         every: str | None = None) -> StreamingQuery:
     """Put items by key; of equal keys the last write counts (see ``newest_by_key``).
 
     A put only adds the rows of its batch; nothing stored before is rewritten.
     """
-    mode = "append" if items.isStreaming else "update"
     return each_batch(items, path, mode, checkpoint=checkpoint, every=every)
 
 

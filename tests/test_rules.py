@@ -151,6 +151,18 @@ def test_malformed_goes_to_rejects(spark):
     assert [r.value for r in ev.rejects(messages).orderBy("arrival").collect()] == list(texts[:5])
 
 
+def test_messages_without_time_can_be_rejected(spark):
+    texts = ("nope", '{"order_id":"9"}', '{"timestamp":"soon"}',
+             '{"timestamp":"2024-01-01T00:00:00Z"}')
+    got = ev.rejects(raw(spark, *texts), timed=True).orderBy("arrival").collect()
+    assert [r.reason for r in got] == ["malformed json", "no event time", "no event time"]
+
+
+def test_great_price_is_kept(spark):
+    event = ev.cast_with_defaults(raw(spark, '{"user_id":1,"price":1e15,"quantity":2000000000}'))
+    assert running.user_running_stats(event).first().total_spent == D("2e24")
+
+
 def test_both_time_forms_are_read(spark):
     texts = ["2024-01-01T00:00:01.5Z", "2024-01-01 00:00:01.5", "2024-01-01T01:00:01.5+01:00",
              "later", None]

@@ -59,7 +59,8 @@ def test_key_filter_reaches_the_scan(spark):
 
 def test_messages_are_parsed_once(spark):
     messages = fx.as_read(fx.order_messages(spark, SF))
-    for df in (ev.order_events(messages), ev.cast_with_defaults(messages)):
+    for df in (ev.order_events(messages), ev.cast_with_defaults(messages),
+               ev.rejects(messages, timed=True)):
         assert plan(df).count("from_json") == 1
 
 
