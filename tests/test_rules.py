@@ -1,6 +1,8 @@
 """Limits, the worked example, and the traps, each on a few rows."""
 
+import random
 from datetime import datetime
+from decimal import ROUND_HALF_UP
 from decimal import Decimal as D
 
 import pytest
@@ -88,6 +90,19 @@ def test_average_rounds_once(spark):
         D("0.03"), 0, D("-0.03"), D("2.67"), D("2.67")]
 
 
+@pytest.mark.parametrize("scale", [2, 6])
+def test_average_equals_exact_division(spark, scale):
+    rng = random.Random(scale)
+    rows = []
+    for _ in range(2000):
+        count = rng.choice([1, 2, 3, 7, 200, 12345, 10 ** 9])
+        total = D(rng.randrange(-10 ** 12, 10 ** 12)).scaleb(-scale)
+        rows.append((total, count, (total / count).quantize(D("0.01"), ROUND_HALF_UP)))
+    df = spark.createDataFrame(rows, f"total decimal(38,{scale}), n long, want {MONEY}")
+    mean = mo.safe_average(F.col("total"), F.col("n"), scale)
+    assert df.filter(mean != F.col("want")).collect() == []
+
+
 def test_money_rounds_half_up(spark):
     assert column(spark, [D("2.675"), D("-2.675")], "decimal(10,3)", mo.money_round) == [
         D("2.68"), D("-2.68")]
