@@ -10,8 +10,8 @@ def read_text_files(spark: SparkSession, root: str, prefix: str = "uploads/",
                     stream: bool = False, max_files: int | None = None) -> DataFrame:
     """Every object below ``prefix`` as (path, content); ``path`` is relative to ``root``.
 
-    As a stream it picks up new objects, at most ``max_files`` a batch. The content of one object is one value,
-    since its envelope states its length before its text.
+    As a stream it picks up new objects, at most ``max_files`` a batch. The content
+    of one object is one value, since its envelope states its length before its text.
     """
     reader = spark.readStream if stream else spark.read
     if max_files:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +44,7 @@ def read_results_bounded(spark: SparkSession, topic: str = RESULTS_TOPIC, **wher
     return parse_results(read_topic(spark, topic, start="earliest", **where))
 
 
-def read_results_from_latest(spark: SparkSession, since: Column,
+def read_results_from_latest(spark: SparkSession, since: datetime | Column,
                              topic: str = RESULTS_TOPIC, **where) -> DataFrame:
     """Only the results that arrived after ``since``."""
     return parse_results(read_topic(spark, topic, start="earliest", since=since, **where))

@@ -6,6 +6,8 @@ forms give the same DataFrame: ``value``, ``arrival`` and ``timestamp``.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,20 +35,31 @@ def arrival(partition: Column, offset: Column) -> Column:
     return F.shiftleft(offset, 12) + partition
 
 
+def start_options(start: str, since: datetime | Column | None = None) -> dict[str, str]:
+    """Where a broker read starts. With a time as ``since`` the broker seeks to it, so
+    that older messages are not read at all; one without a zone is UTC."""
+    if isinstance(since, datetime):
+        aware = since if since.tzinfo else since.replace(tzinfo=timezone.utc)
+        return {"startingTimestamp": str(int(aware.timestamp() * 1000)),
+                "startingOffsetsByTimestampStrategy": "latest"}
+    return {"startingOffsets": start}
+
+
 def read_topic(spark: SparkSession, topic: str = ORDERS_TOPIC, *, servers: str | None = None,
                path: str | None = None, stream: bool = False, start: str = "latest",
-               since: Column | None = None, max_files: int | None = None,
+               since: datetime | Column | None = None, max_files: int | None = None,
                **options: str) -> DataFrame:
     """Raw messages. ``start`` is ``latest`` or ``earliest`` for a broker; a landed
-    topic is read whole, or from the messages that arrived after ``since``."""
+    topic is read whole. ``since`` keeps the messages that arrived after it."""
     if (servers is None) == (path is None):
         raise ValueError("give either servers or path")
     reader = spark.readStream if stream else spark.read
     if servers:
-        if not stream and start == "latest":
-            raise ValueError("a bounded read starts at earliest, or give since")
-        raw = (reader.format("kafka").options(**kafka_options(servers, **options))
-               .option("subscribe", topic).option("startingOffsets", start).load())
+        where = start_options(start, since)
+        if not stream and where.get("startingOffsets") == "latest":
+            raise ValueError("a bounded read starts at earliest or at a time")
+        raw = (reader.format("kafka").options(**kafka_options(servers, **options), **where)
+               .option("subscribe", topic).load())
     else:
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)

@@ -42,7 +42,8 @@ def stream_user_window_counts(keyed: DataFrame, size: str = "1 minute",
     when = F.col(ts) if ts else F.current_timestamp()
     arrived = keyed.select("user_id", when.alias("ingest_ts"), F.lit(False).alias("beat"))
     if heartbeat:
-        clock = keyed.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load()
+        clock = (keyed.sparkSession.readStream.format("rate")
+                 .option("rowsPerSecond", 1).option("numPartitions", 1).load())
         arrived = arrived.unionByName(clock.select(
             F.lit(None).cast("string").alias("user_id"),
             F.current_timestamp().alias("ingest_ts"), F.lit(True).alias("beat")))

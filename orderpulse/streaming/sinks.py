@@ -2,7 +2,8 @@
 
 A table written by ``foreachBatch`` has one folder per batch, ``batch_id=N``, which
 a batch replaces as a whole. A batch that runs again after a failure therefore
-leaves the table as if it had run once.
+leaves the table as if it had run once. The numbers come from the checkpoint, so a
+table and its checkpoint belong together.
 """
 
 from __future__ import annotations

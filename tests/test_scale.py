@@ -156,7 +156,8 @@ def test_hot_product_is_split_in_the_join(spark, tmp_path):
 
 
 def test_hot_user_profile_and_hot_email(spark, hot, hot_events):
-    spending = hot_events.select("user_id", (F.col("price") * F.col("quantity")).alias("total_price"))
+    total = F.col("price") * F.col("quantity")
+    spending = hot_events.select("user_id", total.alias("total_price"))
     users = spark.createDataFrame([("hot", "H", "h@x"), ("none", "N", "n@x")],
                                   "id string, name string, email string")
     got = {r.user_id: r for r in insight.user_order_profile(users, spending).collect()}

@@ -203,7 +203,7 @@ def test_mixed_results_topic(spark, tmp_path):
     top = serving.top_users(read).collect()
     assert [(r.user_id, r.total_spent) for r in top] == [("1", D("7.50")), ("2", D("6.00"))]
     late = results.read_results_from_latest(
-        spark, F.lit(START + timedelta(seconds=3)), path=str(tmp_path))
+        spark, START + timedelta(seconds=3), path=str(tmp_path))
     assert [r.user_id for r in serving.has_user_id(late).collect()] == ["2"]
 
 
@@ -221,6 +221,12 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "a:1,b:2", "kafka.security.protocol": "SSL"}
 
 
+def test_broker_seeks_to_a_time():
+    assert topics.start_options("earliest") == {"startingOffsets": "earliest"}
+    assert topics.start_options("latest", START) == {
+        "startingTimestamp": "1704067200000", "startingOffsetsByTimestampStrategy": "latest"}
+
+
 def test_arrival_follows_the_offset(spark):
     df = spark.createDataFrame([(3, 1), (0, 2), (4095, 2)], "p int, o long")
     got = [r[0] for r in df.select(topics.arrival(F.col("p"), F.col("o"))).collect()]
