@@ -51,6 +51,11 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def as_double(df: DataFrame, column: str) -> DataFrame:
+    """A whole-number column with gaps as double, which has one form in every client."""
+    return df.withColumn(column, F.col(column).cast("double"))
+
+
 # --- SQL parts -----------------------------------------------------------------
 
 EV = """ev AS (

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from orderpulse.functions.jsontext import to_json_result
 from orderpulse.operators import events as op
-from orderpulse.plans.catalog.common import EV, ORD, iso, money, query, with_
+from orderpulse.plans.catalog.common import EV, ORD, as_double, iso, money, query, with_
 from orderpulse.plans.catalog.running import FAULTY
 from orderpulse.sources import fixtures as fx
 
@@ -46,12 +46,13 @@ def parse_order_events(spark, d):
 @query("parse_order_events_faulty", """
 SELECT event_id AS arrival,
        CASE WHEN event_type <> 'signup' THEN CAST(user_id AS VARCHAR) END AS user_id,
-       CASE WHEN event_type <> 'click' THEN event_id % 5 + 1 END AS quantity,
+       CAST(CASE WHEN event_type <> 'click' THEN event_id % 5 + 1 END AS DOUBLE) AS quantity,
        CASE WHEN event_type IN ('signup', 'purchase') THEN value END AS price,
        ts AS "timestamp" FROM events WHERE event_type <> 'error'""")
 def parse_order_events_faulty(spark, d):
-    return op.order_events(fx.as_read(fx.faulty_messages(spark, d))).select(
-        "arrival", "user_id", "quantity", "price", "timestamp")
+    parsed = op.order_events(fx.as_read(fx.faulty_messages(spark, d)))
+    return as_double(parsed.select("arrival", "user_id", "quantity", "price", "timestamp"),
+                     "quantity")
 
 
 @query("parse_user_key", """
@@ -113,14 +114,17 @@ def json_result(spark, d):
         to_json_result("event_id", "user_id", "event_type").alias("value"))
 
 
-@query("validate_order", with_(POSTS) + "SELECT * FROM posts")
+POSTS_CHECKED = "SELECT * REPLACE (CAST(quantity AS DOUBLE) AS quantity) FROM posts"
+
+
+@query("validate_order", with_(POSTS) + POSTS_CHECKED)
 def validate_order(spark, d):
-    return op.validate_order(fx.order_posts(spark, d))
+    return as_double(op.validate_order(fx.order_posts(spark, d)), "quantity")
 
 
-@query("dead_letter_orders", with_(POSTS) + "SELECT * FROM posts WHERE error IS NOT NULL")
+@query("dead_letter_orders", with_(POSTS) + POSTS_CHECKED + " WHERE error IS NOT NULL")
 def dead_letter_orders(spark, d):
-    return op.refused(op.validate_order(fx.order_posts(spark, d)))
+    return as_double(op.refused(op.validate_order(fx.order_posts(spark, d))), "quantity")
 
 
 @query("price_or_total_price", with_(POSTS) + """
@@ -146,11 +150,11 @@ def validate_user(spark, d):
 
 
 @query("validate_product", with_(PRODUCT_POSTS) + """
-SELECT *, CASE WHEN name = '' OR price IS NULL THEN 'Name and price required' END AS error
+SELECT * REPLACE (CAST(stock AS DOUBLE) AS stock),
+       CASE WHEN name = '' OR price IS NULL THEN 'Name and price required' END AS error
 FROM product_posts""")
 def validate_product(spark, d):
-    posts = op.validate_product(fx.product_posts(spark, d))
-    return posts
+    return as_double(op.validate_product(fx.product_posts(spark, d)), "stock")
 
 
 @query("product_defaults", with_(PRODUCT_POSTS) + """

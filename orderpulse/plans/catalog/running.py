@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from orderpulse.operators import events as ev
 from orderpulse.operators import running as op
 from orderpulse.operators import serving as sv
-from orderpulse.plans.catalog.common import (EV, STATS_COLUMNS, iso, mean_money, money,
-                                             query, tier, with_)
+from orderpulse.plans.catalog.common import (EV, STATS_COLUMNS, as_double, iso, mean_money,
+                                             money, query, tier, with_)
 from orderpulse.sources import fixtures as fx
 
 FIRST_LAST = "arg_min(ts, arrival) AS first_order, arg_max(ts, arrival) AS last_order"
@@ -83,9 +83,9 @@ def publish_summary(spark, d):
 
 @query("vip_leaderboard", with_(EV) + f"""
 SELECT user_id, total_orders, total_spent, avg_order_value, customer_tier, is_vip,
-       first_order, last_order, CASE WHEN place <= 3 THEN place END AS rank
+       first_order, last_order, CAST(CASE WHEN place <= 3 THEN place END AS DOUBLE) AS rank
 FROM (SELECT *, row_number() OVER (ORDER BY total_spent DESC, user_id) AS place
       FROM (SELECT {STATS_COLUMNS}, {FIRST_LAST} FROM ev GROUP BY user_id) WHERE is_vip)
 WHERE place <= 10""")
 def vip_leaderboard(spark, d):
-    return sv.vip_leaderboard(op.user_running_stats(fx.order_events(spark, d)))
+    return as_double(sv.vip_leaderboard(op.user_running_stats(fx.order_events(spark, d))), "rank")
