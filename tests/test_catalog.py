@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from orderpulse.plans.catalog import ORACLES, QUERIES
 import oracle
 
 SF = "/root/testdata/sf0.001"
@@ -13,11 +14,11 @@ def con():
     return oracle.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    sql = entry.oracle_sql().get(name)
+    sql = ORACLES.get(name)
     assert sql, f"{name} has no SQL"
-    assert oracle.compare(entry.queries()[name](spark, SF), con, sql) == ""
+    assert oracle.compare(QUERIES[name](spark, SF), con, sql) == ""
 
 
 def test_entry(spark):
