@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderpulse.llm.common import slices
+from orderpulse.llm.common import saved, slices
 
 #: Shortest chunk, bits that must be zero at its end (16 bytes more on average), longest chunk.
 LEAST, BITS, MOST = 12, 4, 256
@@ -104,7 +104,8 @@ def repeated(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> DataFrame:
         "row", "c.digest", "c.place")
     common = (chunks(docs, places=False).select(F.explode("digests").alias("digest"))
               .groupBy("digest").agg(F.count("*").alias("copies")).filter("copies > 1"))
-    twice = parts.join(common, "digest").groupBy("row", "place").agg(
+    # Written, so that the join deals both sides anew and a very common chunk can be split.
+    twice = parts.join(saved(common, "repeated-chunks"), "digest").groupBy("row", "place").agg(
         F.first("copies").alias("copies"))
     start = F.shiftright("place", 17)
     order = Window.partitionBy("row").orderBy("start")
