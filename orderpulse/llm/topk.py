@@ -96,7 +96,7 @@ def _search(k: int):
         out = []
         for q, own, beat in zip(both[len(rows):], queries["query_id"], queries["beat"]):
             out += [(own, vec, min(max(score, FLOOR), -FLOOR - 1))
-                    for score, vec in tree.best(q, own, k, beat)]
+                    for score, vec in tree.best(q, own, k, beat if beat > FLOOR else -np.inf)]
         return pd.DataFrame(out, columns=columns).astype("int64")
     return run
 

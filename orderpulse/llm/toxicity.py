@@ -56,8 +56,8 @@ FOLDING = Folding()
 
 
 def folded(text: str) -> str:
-    """Words between single or more spaces, with a space at either end."""
-    return f" {text.lower().translate(FOLDING)} "
+    """Words between single spaces, with a space at either end."""
+    return f" {' '.join(text.lower().translate(FOLDING).split())} "
 
 
 @dataclass
