@@ -26,9 +26,11 @@ def safe_average(total: Column, count: Column, scale: int = 2) -> Column:
     """
     units = (F.abs(total) * F.lit(10 ** scale)).cast("decimal(38,0)")
     step = count.cast("decimal(20,0)") * F.lit(10 ** (scale - 2))
-    cents = F.call_function("div", units * 2 + step, step * 2)
+    # Taking the remainder off first leaves a quotient without decimals, at any size.
+    doubled, whole = units * 2 + step, step * 2
+    cents = ((doubled - doubled % whole) / whole).cast("decimal(34,0)")
     signed = F.when(total < 0, -cents).otherwise(cents)
-    return (F.when(count > 0, (signed.cast("decimal(20,0)") / 100).cast(MONEY))
+    return (F.when(count > 0, (signed / 100).cast(MONEY))
             .otherwise(F.lit(0).cast(MONEY)))
 
 

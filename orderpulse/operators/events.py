@@ -48,7 +48,9 @@ def _well_formed(raw: DataFrame, value: str) -> DataFrame:
     text = F.col(value)
     valid = F.filter(F.array(_parsed(text)), lambda event: event[_BROKEN].isNull())
     carried = [c for c in raw.columns if c not in (value, "timestamp")]
-    return raw.filter(~_blank(text)).select(F.explode(valid).alias("event"), *carried)
+    sent = F.col("timestamp") if "timestamp" in raw.columns else F.lit(None).cast("timestamp")
+    return raw.filter(~_blank(text)).select(F.explode(valid).alias("event"),
+                                            sent.alias("_sent"), *carried)
 
 
 def order_events(raw: DataFrame, value: str = "value") -> DataFrame:
@@ -63,7 +65,7 @@ def order_events(raw: DataFrame, value: str = "value") -> DataFrame:
         F.try_variant_get(event["price"], "$", PRICE.simpleString()).alias("price"),
         parse_iso(event["timestamp"]).alias("timestamp"),
         event["status"].alias("status"),
-        *parsed.columns[1:])
+        *parsed.columns[2:])
 
 
 def rejects(raw: DataFrame, value: str = "value", timed: bool = False) -> DataFrame:
@@ -93,8 +95,9 @@ def cast_with_defaults(raw: DataFrame, value: str = "value", *,
                        null_is_bad: bool = False) -> DataFrame:
     """Events as the running processors read them.
 
-    Price 0, quantity 1 and the current time stand in for a missing field, and
-    also for a null unless ``null_is_bad``. A numeric quantity is cut to whole,
+    Price 0, quantity 1 and the time of the message stand in for a missing field, and
+    also for a null; price and quantity not if ``null_is_bad``. A time that can't be read
+    is null, and ``rejects(timed=True)`` has its message. A numeric quantity is cut to whole,
     a text one must be whole. ``price``/``quantity`` are null where unusable;
     ``missing_user`` names the user of a message without one.
     """
@@ -115,8 +118,9 @@ def cast_with_defaults(raw: DataFrame, value: str = "value", *,
         user.alias("user_id"),
         field("price", RAW_PRICE.simpleString(), F.lit(0).cast(RAW_PRICE)).alias("price"),
         field("quantity", "int", F.lit(1)).alias("quantity"),
-        F.coalesce(parse_iso(event["timestamp"]), F.current_timestamp()).alias("timestamp"),
-        *parsed.columns[1:])
+        F.when(event["timestamp"].isNull(), F.coalesce("_sent", F.current_timestamp()))
+        .otherwise(parse_iso(event["timestamp"])).alias("timestamp"),
+        *parsed.columns[2:])
 
 
 def build_order_event(orders: DataFrame) -> DataFrame:
@@ -155,7 +159,8 @@ def parse_order_posts(raw: DataFrame, value: str = "value") -> DataFrame:
     """
     post = F.from_json(F.col(value), "user_id variant, product_id variant, "
                        "quantity variant, price variant, total_price variant")
-    fields = raw.select(F.col("arrival").alias("id"), F.col("timestamp").alias("created_at"),
+    number = "position" if "position" in raw.columns else "arrival"
+    fields = raw.select(F.col(number).cast("bigint").alias("id"), F.col("timestamp").alias("created_at"),
                         post.alias("post"))
     price = F.try_variant_get("post.price", "$", PRICE.simpleString())
     total = F.try_variant_get("post.total_price", "$", PRICE.simpleString())

@@ -24,12 +24,17 @@ def land(spark, messages, topic):
     return path
 
 
+def offsets(rows):
+    """Rows with the offset in place of the whole order of arrival."""
+    return rows.withColumn("arrival", (F.col("arrival") % F.lit(topics.OFFSETS)).cast("bigint"))
+
+
 @query("read_order_events", with_(EV) + f"""
 SELECT order_id, user_id, product_id, quantity, {money('price_cents')} AS price,
-       ts AS "timestamp", 'pending' AS status, arrival * 4096 AS arrival FROM ev""")
+       ts AS "timestamp", 'pending' AS status, arrival FROM ev""")
 def read_order_events(spark, d):
     path = land(spark, fx.order_messages(spark, d), topics.ORDERS_TOPIC)
-    return topics.read_order_events(spark, path=path)
+    return offsets(topics.read_order_events(spark, path=path))
 
 
 @query("read_order_values", """
@@ -46,11 +51,12 @@ def read_order_values(spark, d):
 
 
 @query("read_order_dicts", with_(FAULTY) + """
-SELECT coalesce(user_id, 'None') AS user_id, arrival * 4096 AS arrival, ts AS "timestamp"
+SELECT coalesce(user_id, 'None') AS user_id, arrival, ts AS "timestamp"
 FROM bad""")
 def read_order_dicts(spark, d):
     path = land(spark, fx.faulty_messages(spark, d), topics.ORDERS_TOPIC)
-    return topics.read_order_dicts(spark, path=path).select("user_id", "arrival", "timestamp")
+    return offsets(topics.read_order_dicts(spark, path=path)).select(
+        "user_id", "arrival", "timestamp")
 
 
 @query("start_position", """
@@ -71,10 +77,10 @@ def start_position(spark, d):
 
 
 @query("read_results_bounded", with_(EV, RESULTS) + """
-SELECT * EXCLUDE (arrival), arrival * 4096 AS arrival FROM results""")
+SELECT * FROM results""")
 def read_results_bounded(spark, d):
     path = land(spark, fx.mixed_result_messages(spark, d), topics.RESULTS_TOPIC)
-    return sv.has_user_id(results.read_results_bounded(spark, path=path))
+    return offsets(sv.has_user_id(results.read_results_bounded(spark, path=path)))
 
 
 @query("read_results_all_shapes", with_(EV, RESULTS, f"w AS ({window_sql(1)})") + """
@@ -88,12 +94,12 @@ def read_results_all_shapes(spark, d):
 
 
 @query("read_results_from_latest", with_(EV, RESULTS) + """
-SELECT * EXCLUDE (arrival), arrival * 4096 AS arrival FROM results
+SELECT * FROM results
 WHERE window_end > '2024-01-15'""")
 def read_results_from_latest(spark, d):
     path = land(spark, fx.mixed_result_messages(spark, d), topics.RESULTS_TOPIC)
     since = F.lit("2024-01-15").cast("timestamp")
-    return sv.has_user_id(results.read_results_from_latest(spark, since, path=path))
+    return offsets(sv.has_user_id(results.read_results_from_latest(spark, since, path=path)))
 
 
 @query("top_users_from_topic", with_(EV, RESULTS) + """
@@ -230,3 +236,30 @@ def compact_window_items(spark, d):
     sinks.replace_batch(wi.analytics_items(wi.window_totals(events)), 1, path)
     sinks.compact(spark, path, into, "window_id")
     return sinks.read_batches(spark, into).drop("user_id", "batch_id")
+
+
+@query("first_last_over_partitions", with_(EV) + """
+SELECT user_id, min(ts) AS first_order, max(ts) AS last_order FROM ev GROUP BY user_id""")
+def first_last_over_partitions(spark, d):
+    # Three partitions whose offsets are far apart, so that only the time orders them.
+    number = F.col("offset")
+    spread = fx.order_messages(spark, d).select(
+        "value", (number % 3).cast("int").alias("partition"),
+        F.floor(number / F.pow(F.lit(10), number % 3)).alias("offset"), "timestamp")
+    path = land(spark, spread, topics.ORDERS_TOPIC)
+    return rn.first_last_by_arrival(topics.read_order_events(spark, path=path))
+
+
+@query("newest_of_three_publishes", """
+SELECT CAST(c_custkey AS VARCHAR) AS user_id, 3 * c_custkey::DOUBLE AS total_spent
+FROM customer""")
+def newest_of_three_publishes(spark, d):
+    path = fresh_path(spark, "publishes")
+    users = fx.table(spark, d, "customer")
+    for publish in (1, 2, 3):
+        topics.write_topic(users.select(
+            F.col("c_custkey").cast("string").alias("user_id"),
+            (F.col("c_custkey") * publish).cast("double").alias("total_spent"),
+            F.lit(f"2024-01-0{publish}T00:00:00").alias("window_end")), path=path)
+    newest = sv.last_arrival_per_user(results.read_results_bounded(spark, path=path))
+    return newest.select("user_id", F.col("total_spent").cast("double").alias("total_spent"))

@@ -12,7 +12,7 @@ from orderpulse.operators.running import published
 from orderpulse.operators.serving import top_users
 from orderpulse.plans.catalog.common import (EV, ITEMS, STATS_COLUMNS, iso, mean_money, money,
                                              query, window_sql, with_)
-from orderpulse.plans.catalog.sources import land
+from orderpulse.plans.catalog.sources import land, offsets
 from orderpulse.session import fresh_path
 from orderpulse.sources import fixtures as fx
 from orderpulse.sources import results, topics
@@ -91,7 +91,8 @@ SELECT * FROM (
   FROM ev GROUP BY ALL) WHERE window_end <= (SELECT max(ts) FROM events)""")
 def stream_user_window_counts_1m(spark, d):
     events = fx.order_events_stream(spark, d)
-    return appended(spark, op.stream_user_window_counts(events, ts="timestamp"))
+    return appended(spark, op.stream_user_window_counts(events, ts="timestamp",
+                                                         delay="0 seconds"))
 
 
 @query("stream_user_running_stats", with_(EV) + f"""
@@ -132,10 +133,11 @@ def stream_upsert_window_items(spark, d):
 @query("stream_windows_counter", with_(EV) + f"""
 SELECT count(*) AS windows FROM ({window_sql(1)}) WHERE {CLOSED}""")
 def stream_windows_counter(spark, d):
+    totals = sinks.watch(spark)
     counted = op.count_windows(op.stream_window_totals(fx.order_events_stream(spark, d)))
     query_ = sinks.append_files(counted, fresh_path(spark, "stream"))
     query_.awaitTermination()
-    return spark.range(1).select(F.lit(sinks.observed(query_)).cast("bigint").alias("windows"))
+    return spark.range(1).select(F.lit(totals.observed(query_)).cast("bigint").alias("windows"))
 
 
 @query("stream_deduplicate", with_(EV) + """
@@ -152,13 +154,13 @@ def stream_deduplicate(spark, d):
 
 
 @query("stream_rejects", """
-SELECT 'no json ' || CAST(user_id AS VARCHAR) AS value, event_id * 4096 AS arrival,
+SELECT 'no json ' || CAST(user_id AS VARCHAR) AS value, event_id AS arrival,
        ts AS "timestamp", 'malformed json' AS reason FROM events
 WHERE event_type = 'error'""")
 def stream_rejects(spark, d):
     path = land(spark, fx.faulty_messages(spark, d), topics.ORDERS_TOPIC)
     raw = topics.read_topic(spark, path=path, stream=True)
-    return appended(spark, ev.rejects(raw))
+    return offsets(appended(spark, ev.rejects(raw)))
 
 
 @query("notify_orders", with_(EV) + """

@@ -40,7 +40,8 @@ def order_writer_job(spark: SparkSession, source: dict, orders: str, rejected: s
         sinks.send(ev.build_order_event(stored), batch_id, topics.ORDERS_TOPIC,
                    offset=F.col("order_id"), **out)
 
-    posts = topics.read_topic(spark, stream=True, **{"topic": POSTS_TOPIC, **source})
+    posts = topics.read_topic(spark, stream=True, positions=True,
+                              **{"topic": POSTS_TOPIC, **source})
     return sinks.run_batches(posts, write, "append", checkpoint=checkpoint, every=every)
 
 

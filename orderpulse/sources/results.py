@@ -14,16 +14,21 @@ from orderpulse.sources.topics import RESULTS_TOPIC, read_topic
 _FIELDS = ("user_id variant, total_orders bigint, total_spent variant, "
            "avg_order_value variant, customer_tier string, is_vip boolean, "
            "first_order string, last_order string, window_end variant")
+_BROKEN = "_broken"
+_LENIENT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
 
 
 def parse_results(raw: DataFrame, value: str = "value") -> DataFrame:
     """Result messages as rows of one shape.
 
     A numeric ``window_end``, which per-user window counts carry, cannot be
-    compared with the texts of the others; such rows are left out.
+    compared with the texts of the others; such rows are left out, and so are messages
+    that are no JSON object (``rejected_results`` has them).
     """
-    row = F.from_json(F.col(value), _FIELDS)
-    parsed = raw.select("arrival", row.alias("row")).select("arrival", "row.*")
+    row = F.from_json(F.col(value), f"{_FIELDS}, {_BROKEN} string", _LENIENT)
+    kept = F.filter(F.array(row), lambda r: r[_BROKEN].isNull())
+    parsed = (raw.filter(F.trim(value) != "").select("arrival", F.explode(kept).alias("row"))
+              .select("arrival", "row.*"))
     end = F.col("window_end")
     numeric = end.isNotNull() & ~F.is_variant_null(end) \
         & (kind(end) != "STRING")
@@ -39,6 +44,12 @@ def parse_results(raw: DataFrame, value: str = "value") -> DataFrame:
     return parsed.filter(~F.coalesce(numeric, F.lit(False))).select(*columns.values())
 
 
+def rejected_results(raw: DataFrame, value: str = "value") -> DataFrame:
+    """The messages of the results topic that are no JSON object."""
+    row = F.from_json(F.col(value), f"{_FIELDS}, {_BROKEN} string", _LENIENT)
+    return raw.filter(F.coalesce(F.trim(value) == "", F.lit(True)) | row[_BROKEN].isNotNull())
+
+
 def read_results_bounded(spark: SparkSession, topic: str = RESULTS_TOPIC, **where) -> DataFrame:
     """All results from the earliest on, as a bounded read."""
     return parse_results(read_topic(spark, topic, start="earliest", **where))

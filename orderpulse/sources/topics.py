@@ -7,6 +7,7 @@ forms give the same DataFrame: ``value``, ``arrival`` and ``timestamp``.
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from orderpulse.schemas import TOPIC
 
 ORDERS_TOPIC = "orders-events"
 RESULTS_TOPIC = "analytics-results"
+#: Above all offsets: what lies below this in an arrival is the offset.
+OFFSETS = Decimal(10 ** 19)
 
 
 def kafka_options(servers: str, **options: str) -> dict[str, str]:
@@ -26,21 +29,39 @@ def kafka_options(servers: str, **options: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, **named}
 
 
-def arrival(partition: Column, offset: Column) -> Column:
-    """Order of arrival as one long, exact within a partition.
+def arrival(timestamp: Column, partition: Column, offset: Column) -> Column:
+    """Order of arrival over all partitions: broker time in milliseconds, partition, offset.
 
-    One number instead of a pair keeps ``min_by``/``max_by`` on it hash aggregates.
-    Offsets of up to 2^51 and 4096 partitions fit.
+    Offsets of different partitions do not compare, so the time comes first. One number of
+    fixed width keeps ``min_by``/``max_by`` on it hash aggregates. All offsets fit, and
+    100,000 partitions; more are an error.
     """
-    return F.shiftleft(offset, 12) + partition
+    whole = "decimal(38,0)"
+    number = (F.unix_millis(timestamp).cast(whole) * F.lit(10 ** 5).cast(whole)
+              + partition.cast(whole)) * F.lit(OFFSETS).cast(whole) + offset.cast(whole)
+    fits = partition.between(0, 10 ** 5 - 1)
+    return F.when(fits, number.cast(whole)).when(
+        ~fits, F.raise_error(F.lit("too many partitions for an order of arrival")).cast(whole))
+
+
+def position(partition: Column, offset: Column) -> Column:
+    """A long that no other message of the topic has; one that does not fit is an error."""
+    fits = partition.between(0, 4095) & offset.between(0, (1 << 51) - 1)
+    return F.when(fits, F.shiftleft(offset, 12) + partition).when(
+        ~fits, F.raise_error(F.lit("partition or offset too large for a position"))
+        .cast("bigint"))
+
+
+def utc(since: datetime) -> datetime:
+    """The time as it is, or as UTC if it has no zone."""
+    return since if since.tzinfo else since.replace(tzinfo=timezone.utc)
 
 
 def start_options(start: str, since: datetime | Column | None = None) -> dict[str, str]:
     """Where a broker read starts. With a time as ``since`` the broker seeks to it, so
     that older messages are not read at all; one without a zone is UTC."""
     if isinstance(since, datetime):
-        aware = since if since.tzinfo else since.replace(tzinfo=timezone.utc)
-        return {"startingTimestamp": str(int(aware.timestamp() * 1000)),
+        return {"startingTimestamp": str(int(utc(since).timestamp() * 1000)),
                 "startingOffsetsByTimestampStrategy": "latest"}
     return {"startingOffsets": start}
 
@@ -48,9 +69,10 @@ def start_options(start: str, since: datetime | Column | None = None) -> dict[st
 def read_topic(spark: SparkSession, topic: str = ORDERS_TOPIC, *, servers: str | None = None,
                path: str | None = None, stream: bool = False, start: str = "latest",
                since: datetime | Column | None = None, max_files: int | None = None,
-               **options: str) -> DataFrame:
+               positions: bool = False, **options: str) -> DataFrame:
     """Raw messages. ``start`` is ``latest`` or ``earliest`` for a broker; a landed
-    topic is read whole. ``since`` keeps the messages that arrived after it."""
+    topic is read whole. ``since`` keeps the messages that arrived after it, a
+    time without a zone is UTC. ``positions`` adds a unique long to each message."""
     if (servers is None) == (path is None):
         raise ValueError("give either servers or path")
     reader = spark.readStream if stream else spark.read
@@ -65,17 +87,20 @@ def read_topic(spark: SparkSession, topic: str = ORDERS_TOPIC, *, servers: str |
             reader = reader.option("maxFilesPerTrigger", max_files)
         raw = reader.schema(TOPIC).parquet(f"{path}/{topic}")
     if since is not None:
-        raw = raw.filter(F.col("timestamp") > since)
+        after = F.lit(utc(since)) if isinstance(since, datetime) else since
+        raw = raw.filter(F.col("timestamp") > after)
+    number = [position(F.col("partition"), F.col("offset")).alias("position")]
     return raw.select(
         F.col("value").cast("string").alias("value"),
-        arrival(F.col("partition"), F.col("offset")).alias("arrival"),
-        "timestamp")
+        arrival(F.col("timestamp"), F.col("partition"), F.col("offset")).alias("arrival"),
+        "timestamp", *(number if positions else ()))
 
 
 def messages(rows: DataFrame, offset: Column | None = None) -> DataFrame:
     """Rows as topic messages; a row keeps its ``value`` or becomes JSON text.
 
-    Without a column for it, ``offset`` numbers the rows, unique but with gaps.
+    Without a column for it, ``offset`` numbers the rows of this write, unique but with
+    gaps; rows of a later write come later by their time.
     """
     value = F.col("value") if rows.columns == ["value"] else to_json_result(*rows.columns)
     number = offset if offset is not None else F.monotonically_increasing_id()

@@ -30,15 +30,19 @@ def stream_window_totals(events: DataFrame, size: str = "1 minute", slide: str |
 
 
 def stream_user_window_counts(keyed: DataFrame, size: str = "1 minute",
-                              ts: str | None = None, heartbeat: bool = False) -> DataFrame:
+                              ts: str | None = None, heartbeat: bool = False,
+                              delay: str | None = None) -> DataFrame:
     """Orders per user and window of processing time.
 
-    The time of arrival is the time of the micro-batch, or the column ``ts``, such
-    as the broker's. It never runs late, so the watermark has no slack and bounds
-    the state. A window is given out by the first batch with rows after its end;
+    The time of arrival is the time of the micro-batch, which never runs late, so the
+    watermark has no slack and bounds the state. Or it is the column ``ts``, such as the
+    broker's; partitions then lag behind each other, and ``delay`` must say by how much
+    at most: rows later than that are dropped. A window is given out by the first batch with rows after its end;
     with ``heartbeat`` a clock row each second stands in for them; it moves the
     watermark and is not counted.
     """
+    if (ts is None) != (delay is None):
+        raise ValueError("ts and delay go together")
     when = F.col(ts) if ts else F.current_timestamp()
     arrived = keyed.select("user_id", when.alias("ingest_ts"), F.lit(False).alias("beat"))
     if heartbeat:
@@ -47,7 +51,7 @@ def stream_user_window_counts(keyed: DataFrame, size: str = "1 minute",
         arrived = arrived.unionByName(clock.select(
             F.lit(None).cast("string").alias("user_id"),
             F.current_timestamp().alias("ingest_ts"), F.lit(True).alias("beat")))
-    timed = arrived.withWatermark("ingest_ts", "0 seconds")
+    timed = arrived.withWatermark("ingest_ts", delay or "0 seconds")
     counts = user_window_counts(timed, size, count=F.count_if(~F.col("beat")))
     return counts.filter("order_count > 0") if heartbeat else counts
 

@@ -8,12 +8,13 @@ table and its checkpoint belong together.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from orderpulse.operators.running import published
@@ -138,15 +139,52 @@ def compact(spark: SparkSession, path: str, into: str, key: str) -> None:
         f"{into}/batch_id=0")
 
 
-def dropped_late(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark over the recent progress of a query."""
-    return sum(state["numRowsDroppedByWatermark"]
-               for progress in query.recentProgress
-               for state in progress["stateOperators"])
+class Totals(StreamingQueryListener):
+    """Sums over the whole life of the queries started after it was added. A query keeps
+    the progress of its last batches only, so they are added up as they come."""
 
+    def __init__(self):
+        self.late: dict[str, int] = {}
+        self.counts: dict[tuple[str, str], int] = {}
+        self.batches: dict[str, int] = {}
 
-def observed(query: StreamingQuery, name: str = "windows") -> int:
-    """Sum of an observed count over the recent progress of a query."""
-    return sum(progress["observedMetrics"][name][name]
-               for progress in query.recentProgress
-               if name in progress["observedMetrics"])
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress, run = event.progress, str(event.progress.runId)
+        self.late[run] = self.late.get(run, 0) + sum(
+            state.numRowsDroppedByWatermark for state in progress.stateOperators)
+        for name, row in progress.observedMetrics.items():
+            self.counts[run, name] = self.counts.get((run, name), 0) + row[name]
+        self.batches[run] = progress.batchId
+
+    def _wait(self, query: StreamingQuery, seconds: float = 30.0) -> str:
+        """Progress is told a little later than it is made."""
+        run, last, until = str(query.runId), query.lastProgress, time.monotonic() + seconds
+        while last and self.batches.get(run, -1) < last["batchId"]:
+            if time.monotonic() > until:
+                raise TimeoutError(f"no progress of batch {last['batchId']}")
+            time.sleep(0.05)
+        return run
+
+    def dropped_late(self, query: StreamingQuery) -> int:
+        """Rows dropped behind the watermark since the query was started."""
+        return self.late.get(self._wait(query), 0)
+
+    def observed(self, query: StreamingQuery, name: str = "windows") -> int:
+        """Sum of an observed count since the query was started."""
+        return self.counts.get((self._wait(query), name), 0)
+
+
+def watch(spark: SparkSession) -> Totals:
+    """Add up late rows and observed counts of all queries that start from now on."""
+    totals = Totals()
+    spark.streams.addListener(totals)
+    return totals

@@ -318,3 +318,10 @@ def test_long_text_is_kept_whole(spark):
     body = "word " * 60_000
     files = spark.createDataFrame([("uploads/t.txt", body)], "path string, content string")
     assert body.upper() in process_files(files).first().processed_content
+
+
+def test_great_means_do_not_wrap(spark):
+    rows = [(D("4000000000000000000000"), 2), (D("0.05"), 10), (D("-0.05"), 10), (D("1"), 0)]
+    df = spark.createDataFrame(rows, "total decimal(38,6), n long")
+    got = [r[0] for r in df.select(mo.safe_average(F.col("total"), F.col("n"), 6)).collect()]
+    assert got == [D("2000000000000000000000.00"), D("0.01"), D("-0.01"), D("0.00")]

@@ -79,11 +79,12 @@ def test_late_rows_are_dropped_and_counted(spark, feed, tmp_path):
     feed.add(("b", 200))
     feed.add(("late", 50), ("c", 210))
     feed.add(("d", 400))
+    totals = sinks.watch(spark)
     query, got = run(spark, queries.stream_window_totals(feed.stream()),
                      tmp_path / "out", tmp_path / "cp")
     rows = {r.window_start: r.total_orders for r in got.collect()}
     assert rows == {START: 1, START + timedelta(minutes=2): 1, START + timedelta(minutes=3): 2}
-    assert sinks.dropped_late(query) == 1
+    assert totals.dropped_late(query) == 1
 
 
 def test_restart_goes_on_from_checkpoint(spark, feed, tmp_path):
@@ -95,10 +96,11 @@ def test_restart_goes_on_from_checkpoint(spark, feed, tmp_path):
     _, got = once()
     assert got.count() == 0
     feed.add(("a", 30), ("c", 90))
+    totals = sinks.watch(spark)
     query, got = once()
     first = got.collect()
     assert [(r.unique_users, r.total_orders) for r in first] == [(2, 3)]
-    assert sinks.observed(query) == 1
+    assert totals.observed(query) == 1
     feed.add(("d", 300))
     _, got = once()
     assert got.count() == 2
@@ -109,7 +111,7 @@ def test_user_counts_by_arrival(spark, feed, tmp_path):
     feed.add(("a", 59), ("a", 60))
     feed.add(("b", 200))
     keyed = feed.stream().fillna("unknown", "user_id")
-    _, got = run(spark, queries.stream_user_window_counts(keyed, ts="timestamp"),
+    _, got = run(spark, queries.stream_user_window_counts(keyed, ts="timestamp", delay="0 seconds"),
                  tmp_path / "out", tmp_path / "cp")
     rows = {(r.user_id, (r.window_start - START).total_seconds()): r.order_count
             for r in got.collect()}
@@ -228,9 +230,45 @@ def test_broker_seeks_to_a_time():
 
 
 def test_arrival_follows_the_offset(spark):
-    df = spark.createDataFrame([(3, 1), (0, 2), (4095, 2)], "p int, o long")
-    got = [r[0] for r in df.select(topics.arrival(F.col("p"), F.col("o"))).collect()]
-    assert got == sorted(got) and len(set(got)) == 3
+    later = START + timedelta(milliseconds=1)
+    rows = [(START, 0, 9), (START, 3, 1), (START, 3, 2), (START, 4097, 0), (later, 0, 0),
+            (later, 0, 2 ** 63 - 1), (later, 1, 0)]
+    df = spark.createDataFrame(rows, "t timestamp, p int, o long")
+    got = [r[0] for r in df.select(topics.arrival(F.col("t"), F.col("p"), F.col("o"))).collect()]
+    assert got == sorted(got) and len(set(got)) == len(rows)
+
+
+@pytest.mark.parametrize("place", [(4096, 0), (0, 2 ** 51)])
+def test_positions_do_not_clash(spark, place):
+    df = spark.createDataFrame([place], "p int, o long")
+    with pytest.raises(Exception, match="too large"):
+        df.select(topics.position(F.col("p"), F.col("o"))).collect()
+
+
+def test_counts_go_on_after_old_progress_is_gone(spark, feed, tmp_path):
+    held = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    totals = sinks.watch(spark)
+    try:
+        for k in range(6):
+            feed.add(("a", 100 * k))
+        query, got = run(spark, queries.count_windows(queries.stream_window_totals(feed.stream())),
+                         tmp_path / "out", tmp_path / "cp")
+        assert totals.observed(query) == got.count() == 5
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", held)
+        spark.streams.removeListener(totals)
+
+
+def test_lagging_partitions_lose_nothing(spark, feed, tmp_path):
+    for second in (10, 130, 20, 140, 30, 400):
+        feed.add(("u", second))
+    keyed = feed.stream().select("user_id", "timestamp")
+    _, got = run(spark, queries.stream_user_window_counts(keyed, ts="timestamp", delay="3 minutes"),
+                 tmp_path / "out", tmp_path / "cp")
+    assert sorted(r.order_count for r in got.collect()) == [2, 3]
+    with pytest.raises(ValueError):
+        queries.stream_user_window_counts(keyed, ts="timestamp")
 
 
 def test_file_stream_keeps_bytes_and_odd_names(spark, tmp_path):
