@@ -194,6 +194,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, sizes: dict[int, int] |
         rate = F.when(F.col("toxic") == label, F.lit(min(1.0, sizes[label] / n))).otherwise(rate)
     chosen = known.filter(share(F.col("doc_id"), rate)).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"))
+    chosen = saved(chosen, "toxic-ids")
+    # SAMPLE bounds the ids, so texts need not be shuffled to meet them; the size is checked.
+    if chosen.count() <= 2 * sum(sizes.values()):
+        chosen = F.broadcast(chosen)
     rows = docs.select("doc_id", "text").join(chosen, "doc_id")
     words = F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s+")
     split = rows.select(F.coalesce("text", F.lit("")).alias("text"), "toxic",
