@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from orderpulse.llm.common import chained, slices, texts
 
-#: Units (what stands between two spaces) whose ids a Python worker remembers; beyond that it
-#: forgets all and starts again.
-REMEMBERED = 400_000
+#: Units (what stands between two spaces) whose ids a Python worker remembers, and their
+#: characters; beyond either it forgets all and starts again.
+REMEMBERED, REMEMBERED_CHARS = 400_000, 8_000_000
 NO_PAIR = 1 << 62
 
 
@@ -194,6 +194,7 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.split, self.trees = regex.compile(pattern), Trees(ranks)
         self.units: dict[str, tuple[int, ...]] = {}
+        self.chars = 0
 
     def encode(self, texts_: list[str]) -> list[Iterator[int]]:
         """Ids of each text."""
@@ -204,9 +205,11 @@ class Encoder:
             else:
                 head, *rest = text.split(" ")
                 plain.append((split(head), rest))
-        if len(self.units) >= REMEMBERED:
+        if len(self.units) >= REMEMBERED or self.chars >= REMEMBERED_CHARS:
             self.units.clear()
+            self.chars = 0
         new = set(chain.from_iterable(rest for _, rest in plain)).difference(self.units)
+        self.chars += sum(map(len, new))
         odd = {unit for unit in new if not unit or unit[0].isspace() or unit[-1].isspace()}
         usual = list(new - odd)
         pieces = split(" " + " ".join(usual)) if usual else []
@@ -225,16 +228,15 @@ class Encoder:
                       chain.from_iterable(map(unit_ids, rest))) for head, rest in plain]
 
 
-_encoders: dict[tuple, Encoder] = {}
+_held: list = []
 
 
 def _encoder(ranks, pattern: str) -> Encoder:
-    """One encoder for each Python worker, as its memory pays off over many batches."""
-    key = (ranks.id if hasattr(ranks, "id") else id(ranks), pattern)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(ranks.value, pattern)
-    return _encoders[key]
+    """One encoder for each Python worker, as its memory pays off over many batches. The
+    broadcast it was made of is held with it, so that no other one passes for it."""
+    if not _held or _held[0] is not ranks or _held[1] != pattern:
+        _held[:] = ranks, pattern, Encoder(ranks.value, pattern)
+    return _held[2]
 
 
 def id_lists(column: pa.ListArray) -> Iterator[list[int]]:

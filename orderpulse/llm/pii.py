@@ -31,7 +31,8 @@ NUMBER = r"(?<![A-Za-z0-9+(.])\+?\(?[0-9][0-9().\x20-]{5,40}[0-9](?![A-Za-z0-9])
 HANDLE = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,64}(?:@|\x20?[\[(]at[\])]\x20?)[A-Za-z0-9.-]{3,64}"
 #: Rounds over the pattern-instance graph, seeds that a pattern needs, trust that adds a span.
 ROUNDS, SUPPORT, TRUST = 3, 5, 0.9
-SPAN = "struct<start:int,end:int,kind:int>"
+#: In the order that spans are sorted by.
+SPAN = "struct<start:int,kind:int,end:int>"
 FOUND = "struct<start:int,end:int,value:string,before:string>"
 
 
@@ -86,13 +87,13 @@ def _walk(text: Column, form: str, empty: str, made, wanted) -> Column:
 
 
 def base_spans(text: Column) -> Column:
-    """array of (start, end, kind) of the base rules, by start and then kind."""
+    """array of (start, kind, end) of the base rules, by start and then kind."""
     parts = []
     for number, kind in enumerate(KINDS):
         spans = _walk(
             text, BASE[kind], SPAN,
             lambda start, end, match, gap, n=number: F.struct(
-                start.alias("start"), end.alias("end"), F.lit(n).alias("kind")),
+                start.alias("start"), F.lit(n).alias("kind"), end.alias("end")),
             lambda match, k=kind: _accepted(k, match))
         some = (text.contains(NEEDED[kind]) if NEEDED[kind] else text.rlike("[0-9]"))
         if kind in ("ip", "phone"):
@@ -161,7 +162,7 @@ def scored_instances(edges: DataFrame, rounds: int = ROUNDS, support: int = SUPP
 def find(docs: DataFrame, trust: float = TRUST) -> DataFrame:
     """(doc_id, text_hash, base, spans) of every row: spans of the base rules, and all spans.
 
-    Spans are (start, end, kind number) in code points, end exclusive, sorted by start and
+    Spans are (start, kind number, end) in code points, end exclusive, sorted by start and
     kind. Null text counts as empty. Added spans never overlap those of the base. Rows are told
     by doc_id and text hash, so null and repeated ids are served too; repeated rows give
     repeated results. Other columns are not looked at.
@@ -181,7 +182,7 @@ def find(docs: DataFrame, trust: float = TRUST) -> DataFrame:
         F.max_by("kind", F.struct("trust", -F.col("kind"))).alias("kind"))
     added = (seen.filter("seed is null").join(chosen, "value")
              .groupBy("doc_id", "text_hash")
-             .agg(F.collect_set(F.struct("start", "end", "kind")).alias("added")))
+             .agg(F.collect_set(F.struct("start", "kind", "end")).alias("added")))
     joined = read.alias("r").join(added.alias("a"), F.col("r.doc_id").eqNullSafe(F.col("a.doc_id"))
                                   & (F.col("r.text_hash") == F.col("a.text_hash")), "left")
     return joined.select("r.doc_id", "r.text_hash", "base", F.when(

@@ -266,7 +266,8 @@ def test_base_spans(spark):
     rng = random.Random(4)
     texts = [None, "", "a@@b.c x@y@z.com a@b.com_x@y.z", "1.2.3.4.5.6.7.8 001.02.03.4 999999999999.1.1.1",
              "4111 1111 1111 1111 4111-1111-1111-1112", "1" + "2" * 5000, "a." * 5000 + "@" + "b." * 5000 + "c",
-             "é\U0001f600 a@b.cd \U0001f600+49 30 1234567"]
+             "é\U0001f600 a@b.cd \U0001f600+49 30 1234567",
+             "4111111111111111@x.com 000000000000.1.2.3"]  # two kinds from one place
     texts += ["".join(rng.choice("0123456789+-() .@abé") for _ in range(200)) for _ in range(300)]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.base for r in pii.find(rows).select(
