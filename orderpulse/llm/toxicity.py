@@ -2,7 +2,7 @@
 
 Folding lower-cases, turns look-alike letters and digits into the letter they stand for, and
 all else into spaces. Entries are word beginnings or whole words that labelled toxic texts
-have far more often than clean ones; their weight is the log-odds. Phrases that hold an entry
+have, or have twice, far more often than clean ones; their weight is the log-odds. Phrases that hold an entry
 and stand in clean texts are exceptions: the entry does not count there. The weights found,
 by total and by text length, go through a logistic curve that is fitted to the labels.
 """
@@ -112,38 +112,58 @@ class Matcher:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * total + c * density))))
 
 
-def features_of(text: str) -> set[str]:
-    """Word beginnings (a space before) and whole words (a space on either side) of a text."""
-    words = set(folded(text).split())
-    found = {f" {word} " for word in words}
-    for length in BEGINNINGS:
-        found.update([" " + word[:length] for word in words if len(word) >= length])
+def features_of(text: str) -> Counter:
+    """Word beginnings (a space before) and whole words (a space on either side) of a text,
+    and how often it has them."""
+    found = Counter()
+    for word, times in Counter(folded(text).split()).items():
+        found[f" {word} "] += times
+        for length in BEGINNINGS:
+            if len(word) >= length:
+                found[" " + word[:length]] += times
     return found
 
 
+COUNTED = "feature string, n long, k long, n2 long, k2 long"
+
+
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(feature, n, toxic): texts that have it, summed within the task."""
-    both, toxic = Counter(), Counter()
+    """(feature, n, k, n2, k2): texts and toxic texts that have it, and that have it twice,
+    summed within the task."""
+    both, toxic, both2, toxic2 = counters = Counter(), Counter(), Counter(), Counter()
 
     def rows():
         names = list(both)
         return pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([both[x] for x in names], pa.int64()),
-             pa.array([toxic[x] for x in names], pa.int64())], ["feature", "n", "k"])
+            [pa.array(names, pa.string()),
+             *(pa.array([counts[x] for x in names], pa.int64())
+               for counts in (both, toxic, both2, toxic2))], ["feature", "n", "k", "n2", "k2"])
 
     for batch in slices(batches):
         for text, label in zip(texts(batch.column(0)), batch.column(1).to_pylist()):
             found = features_of(text)
-            both.update(found)
+            twice = [x for x, times in found.items() if times > 1]
+            both.update(found.keys())
+            both2.update(twice)
             if label == 1:
-                toxic.update(found)
+                toxic.update(found.keys())
+                toxic2.update(twice)
         if len(both) > 300_000:
             yield rows()
-            both.clear()
-            toxic.clear()
+            for counts in counters:
+                counts.clear()
     yield rows()
 
 
+def _nats(n: Column, k: Column, rate: float) -> Column:
+    """Evidence that texts with a feature, k toxic ones of n, are toxic more often than others;
+    zero where fewer than PURITY of them are."""
+    p = k / n
+    return F.when((n > 0) & (p >= max(PURITY, rate)),
+                  k * F.log(p / rate) + F.when(p < 1, (n - k) * F.log((1 - p) / (1 - rate)))
+                  .otherwise(0.0)).otherwise(0.0)
+
+
 def _count_phrases(model: Model):
     def run(batches):
         matcher, both, toxic = Matcher(model), Counter(), Counter()
@@ -238,19 +258,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not toxic:
         return model
     rate = (toxic + 0.5) / (toxic + clean + 1.0)
-    counted = sample.mapInArrow(_count_features, "feature string, n long, k long").groupBy(
-        "feature").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    p = F.col("k") / F.col("n")
-    nats = F.col("k") * F.log(p / rate) + F.when(p < 1, (F.col("n") - F.col("k")) * F.log(
-        (1 - p) / (1 - rate))).otherwise(0.0)
-    kept = (counted.filter((F.col("k") > 0) & (p >= max(PURITY, rate))).withColumn("nats", nats)
-            .filter(F.col("nats") >= EVIDENCE).orderBy(F.desc("nats"), "feature").limit(ENTRIES)
-            .collect())
-    for row in sorted(kept, key=lambda r: (len(r.feature.rstrip()), r.feature)):
+    counted = sample.mapInArrow(_count_features, COUNTED).groupBy("feature").agg(
+        *(F.sum(c).alias(c) for c in ("n", "k", "n2", "k2")))
+    weight = F.log((F.col("k") + 0.5) / (F.col("n") - F.col("k") + 0.5)
+                   * F.lit((clean + 0.5) / (toxic + 0.5)))
+    nats = F.greatest(_nats(F.col("n"), F.col("k"), rate), _nats(F.col("n2"), F.col("k2"), rate))
+    kept = (counted.withColumn("nats", nats).withColumn("weight", weight)
+            .filter((F.col("nats") >= EVIDENCE) & (F.col("weight") > 0))
+            .orderBy(F.desc("nats"), F.length("feature"), "feature").limit(ENTRIES).collect())
+    # Of beginnings of each other, the one with most evidence stays.
+    begun = set()
+    for row in kept:
         bare = row.feature.rstrip()
-        if not any(bare[:n] in model.entries for n in range(2, len(bare) + 1)):
-            model.entries[row.feature] = math.log(
-                (row.k + 0.5) / (row.n - row.k + 0.5) * (clean + 0.5) / (toxic + 0.5))
+        parts = [bare[:n] for n in range(2, len(bare) + 1)]
+        if bare not in begun and not any(part in model.entries for part in parts):
+            model.entries[row.feature] = row.weight
+            begun.update(parts)
     if model.entries:
         phrases = sample.mapInArrow(_count_phrases(model), "feature string, n long, k long")
         spared = (phrases.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
