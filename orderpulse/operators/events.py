@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderpulse.functions.jsontext import scalar_text, to_json_result, user_key
+from orderpulse.functions.jsontext import kind, scalar_text, to_json_result, user_key
 from orderpulse.functions.money import price_or_total_price
 from orderpulse.functions.times import iso_utc, parse_iso
 from orderpulse.schemas import PRICE, RAW_PRICE
@@ -169,10 +169,14 @@ def parse_order_posts(raw: DataFrame, value: str = "value") -> DataFrame:
     def bad(name: str, number: Column) -> Column:
         return F.col(f"post.{name}").isNotNull() & number.isNull()
 
+    # A product 0 or false is none, a text "0" is one.
+    product = scalar_text(F.col("post.product_id"))
+    none = (F.coalesce(product.try_cast("double") == 0, F.lit(False)) | (product == "false")) \
+        & (kind(F.col("post.product_id")) != "STRING")
     bad_total = F.col("post.price").isNull() & bad("total_price", total)
     return fields.select(
         "id", F.try_variant_get("post.user_id", "$", "bigint").alias("user_id"),
-        scalar_text(F.col("post.product_id")).alias("product_id"),
+        F.when(~none, product).alias("product_id"),
         quantity.alias("quantity"), price.alias("price"), total.alias("total_price"),
         "created_at",
         (bad("price", price) | bad_total | bad("quantity", quantity)).alias("bad_number"))

@@ -6,6 +6,8 @@ per timestamp.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -100,6 +102,17 @@ def counter_rate_by_pod(samples: DataFrame, *, span: int = 300, step: int = 60,
             .select(by, F.timestamp_seconds("instant").alias("instant"), "rate"))
 
 
+def at_instant(samples: DataFrame, at: datetime | Column,
+               lookback: timedelta = timedelta(minutes=5)) -> DataFrame:
+    """The samples that count at an instant: none after it and none older than ``lookback``.
+
+    Put before the gauges and counts below, so that a series which has ended no longer
+    counts. The limits reach the file scan, which then reads no other times.
+    """
+    end = at if isinstance(at, Column) else F.lit(at)
+    return samples.filter((F.col("ts") > end - F.lit(lookback)) & (F.col("ts") <= end))
+
+
 def newest_per_series(samples: DataFrame) -> DataFrame:
     """The last value of each series; timestamp and value have a fixed width, so this
     is a hash aggregate that shrinks each series to one row before the shuffle."""

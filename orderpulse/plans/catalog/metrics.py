@@ -4,6 +4,8 @@ Event types stand for metrics: click is CPU time, view and purchase are bytes in
 and out, signup is memory or a limit, error counts restarts.
 """
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import functions as F
 
 from orderpulse.operators import metrics as op
@@ -87,6 +89,27 @@ def gauge_sum_filtered(spark, d):
     return op.gauge_sum(picked).withColumn("value", F.round("value", 2))
 
 
+AT, LOOKBACK = datetime(2024, 1, 15, tzinfo=timezone.utc), timedelta(hours=12)
+AT_INSTANT = ("namespace = 'default' AND ts > TIMESTAMP '2024-01-14 12:00:00' "
+              "AND ts <= TIMESTAMP '2024-01-15 00:00:00'")
+
+
+@query("gauge_sum_at_instant", with_(SAMPLES, newest_sql(f"metric = 'signup' AND {AT_INSTANT}"))
+       + "SELECT pod, round(sum(value), 2) AS value FROM newest GROUP BY pod")
+def gauge_sum_at_instant(spark, d):
+    picked = op.select_metric(_samples(spark, d), "signup", namespace="default")
+    return op.gauge_sum_by_pod(op.at_instant(picked, AT, LOOKBACK)).withColumn(
+        "value", F.round("value", 2))
+
+
+@query("series_count_at_instant", with_(SAMPLES) + f"""
+SELECT count(*) AS series FROM (
+  SELECT DISTINCT {SERIES} FROM samples WHERE metric = 'view' AND {AT_INSTANT})""")
+def series_count_at_instant(spark, d):
+    picked = op.select_metric(_samples(spark, d), "view", namespace="default")
+    return op.series_count(op.at_instant(picked, AT, LOOKBACK))
+
+
 @query("series_count", with_(SAMPLES) + f"""
 SELECT count(*) AS series FROM (SELECT DISTINCT {SERIES} FROM samples)""")
 def series_count(spark, d):

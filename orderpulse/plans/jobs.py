@@ -109,24 +109,62 @@ def top_users_job(spark: SparkSession, source: dict, limit: int = 10) -> DataFra
     return serving.top_users(results.read_results_bounded(spark, **source), limit)
 
 
+def _option(text: str) -> tuple[str, str]:
+    name, found, value = text.partition("=")
+    if not found:
+        raise argparse.ArgumentTypeError(f"{text!r} is not key=value")
+    return name, value
+
+
+def _broker_options(job: argparse.ArgumentParser, topic: str, what: str) -> None:
+    where = job.add_mutually_exclusive_group(required=True)
+    where.add_argument("--servers", help=f"brokers of {what}")
+    where.add_argument("--path", help="folder of landed topics")
+    job.add_argument("--topic", default=topic)
+    job.add_argument("--option", action="append", default=[], type=_option, metavar="KEY=VALUE",
+                     help="connector option of source and sink, such as "
+                          "kafka.security.protocol=SSL; may be repeated")
+
+
+def _places(args: argparse.Namespace) -> tuple[dict, dict]:
+    """Where a job reads, with the bound on a batch, and where it writes."""
+    place = {"servers": args.servers, **dict(args.option)} if args.servers else {"path": args.path}
+    source = {"topic": args.topic, **place}
+    if getattr(args, "start", None) and args.servers:
+        source["start"] = args.start
+    bound = getattr(args, "max_per_trigger", None)
+    if bound:
+        source |= {"maxOffsetsPerTrigger": str(bound)} if args.servers else {"max_files": bound}
+    return source, place
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description=__doc__)
     jobs = parser.add_subparsers(dest="job", required=True)
-    for name in ("event-time", "processing-time", "running-totals", "notifications", "rejects"):
+    streams = {name: (topics.ORDERS_TOPIC, "source and results topic") for name in (
+        "event-time", "processing-time", "running-totals", "notifications", "rejects")}
+    streams["order-writer"] = POSTS_TOPIC, "posts and events topic"
+    for name, (topic, what) in streams.items():
         job = jobs.add_parser(name)
-        where = job.add_mutually_exclusive_group(required=True)
-        where.add_argument("--servers", help="brokers of source and results topic")
-        where.add_argument("--path", help="folder of landed topics")
-        job.add_argument("--topic", default=topics.ORDERS_TOPIC)
-        job.add_argument("--out", help="folder of the table to write")
+        _broker_options(job, topic, what)
+        job.add_argument("--start", choices=("latest", "earliest"), default="latest",
+                         help="where a broker is read from at first")
+        job.add_argument("--max-per-trigger", type=int,
+                         help="messages of a broker, or files, in a batch")
+        job.add_argument("--every", help="time between batches, such as '10 seconds'")
         job.add_argument("--checkpoint", required=True)
-    job = jobs.add_parser("order-writer")
-    where = job.add_mutually_exclusive_group(required=True)
-    where.add_argument("--servers", help="brokers of posts and events topic")
-    where.add_argument("--path", help="folder of landed topics")
-    job.add_argument("--topic", default=POSTS_TOPIC)
-    for option in ("--orders", "--rejected", "--checkpoint"):
-        job.add_argument(option, required=True)
+        if name in ("notifications", "rejects"):
+            job.add_argument("--out", required=True, help="folder of the table to write")
+        if name in ("event-time", "processing-time"):
+            job.add_argument("--size", default="1 minute", help="length of a window")
+        if name == "running-totals":
+            job.add_argument("--on-bad-value", choices=("drop", "count_only"), default="drop")
+        if name == "order-writer":
+            for option in ("--orders", "--rejected"):
+                job.add_argument(option, required=True)
+    job = jobs.add_parser("top-users")
+    _broker_options(job, topics.RESULTS_TOPIC, "the results topic")
+    job.add_argument("--limit", type=int, default=10)
     job = jobs.add_parser("files")
     job.add_argument("--root", required=True)
     job.add_argument("--out", required=True)
@@ -146,19 +184,23 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "files":
         file_job(spark, args.root, args.out, checkpoint=args.checkpoint).awaitTermination()
         return
-    place = {"servers": args.servers} if args.servers else {"path": args.path}
-    source = {"topic": args.topic, **place}
-    if args.job == "order-writer":
-        order_writer_job(spark, source, args.orders, args.rejected, place,
-                         checkpoint=args.checkpoint).awaitTermination()
+    source, place = _places(args)
+    if args.job == "top-users":
+        top_users_job(spark, source, args.limit).show(args.limit, truncate=False)
         return
-    if args.job in ("notifications", "rejects"):
-        run = notification_job if args.job == "notifications" else rejects_job
-        run(spark, source, args.out, checkpoint=args.checkpoint).awaitTermination()
-        return
-    run = {"event-time": event_time_job, "processing-time": processing_time_job,
-           "running-totals": running_totals_job}[args.job]
-    run(spark, source, place, checkpoint=args.checkpoint).awaitTermination()
+    more = {"checkpoint": args.checkpoint, **({"every": args.every} if args.every else {})}
+    if args.job == "order-writer":
+        query = order_writer_job(spark, source, args.orders, args.rejected, place, **more)
+    elif args.job == "notifications":
+        query = notification_job(spark, source, args.out, **more)
+    elif args.job == "rejects":
+        query = rejects_job(spark, source, args.out, **more)
+    elif args.job == "running-totals":
+        query = running_totals_job(spark, source, place, on_bad_value=args.on_bad_value, **more)
+    else:
+        run = event_time_job if args.job == "event-time" else processing_time_job
+        query = run(spark, source, place, size=args.size, **more)
+    query.awaitTermination()
 
 
 if __name__ == "__main__":

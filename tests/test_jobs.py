@@ -136,6 +136,32 @@ def test_parser_knows_the_jobs():
         jobs._parser().parse_args(["event-time", "--checkpoint", "/c"])
 
 
+def test_broker_options_reach_source_and_sink():
+    args = jobs._parser().parse_args([
+        "running-totals", "--servers", "b:9093", "--checkpoint", "/c", "--every", "1 minute",
+        "--option", "kafka.security.protocol=SSL", "--option", "kafka.ssl.truststore.location=/t=1",
+        "--max-per-trigger", "500", "--start", "earliest", "--on-bad-value", "count_only"])
+    source, out = jobs._places(args)
+    ssl = {"kafka.security.protocol": "SSL", "kafka.ssl.truststore.location": "/t=1"}
+    assert out == {"servers": "b:9093", **ssl}
+    assert source == {"topic": topics.ORDERS_TOPIC, "start": "earliest",
+                      "maxOffsetsPerTrigger": "500", **out}
+    assert ssl.items() <= topics.kafka_options(**out).items()
+    for wrong in (["notifications", "--path", "/x", "--checkpoint", "/c"],
+                  ["top-users", "--path", "/x", "--option", "nothing"]):
+        with pytest.raises(SystemExit):
+            jobs._parser().parse_args(wrong)
+
+
+def test_top_users_from_the_command_line(spark, tmp_path, capfd):
+    rows = spark.createDataFrame([("u1", 1, "3.00"), ("u2", 1, "9.00")],
+                                 "user_id string, total_orders long, total_spent string")
+    topics.write_topic(rows, path=str(tmp_path))
+    jobs.main(["top-users", "--path", str(tmp_path), "--limit", "1"])
+    shown = capfd.readouterr().out
+    assert "u2" in shown and "u1" not in shown
+
+
 def test_shared_folder(spark, monkeypatch):
     base = session.shared_dir(spark)
     assert session.fresh_path(spark, "x").startswith(base + "/x-")

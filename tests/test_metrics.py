@@ -94,3 +94,19 @@ def test_pattern_matches_whole_label(spark):
                                "pod string")
     got = [r.pod for r in df.filter(op.label_regex("pod", op.SERVICE_PODS)).collect()]
     assert got == ["order-service-1", "frontend"]
+
+
+def test_a_series_that_ended_does_not_count(spark):
+    df = samples(spark, [("a", "1", 0, 5.0), ("a", "1", 900, 7.0), ("b", "1", 0, 3.0),
+                         ("c", "1", 1000, 2.0), ("d", "1", 600, 1.0)])
+    now = op.at_instant(df, START + timedelta(seconds=900))
+    assert {r.pod: r.value for r in op.gauge_sum_by_pod(now).collect()} == {"a": 7.0}
+    assert op.series_count(now).first().series == 1
+
+
+def test_the_instant_reaches_the_scan(spark, tmp_path):
+    samples(spark, [("a", "1", 0, 5.0)]).write.parquet(str(tmp_path / "m"))
+    now = op.at_instant(spark.read.parquet(str(tmp_path / "m")), START)
+    plan = now._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):].split("\n")[0]
+    assert "GreaterThan(ts" in pushed and "LessThanOrEqual(ts" in pushed

@@ -296,6 +296,12 @@ def test_order_posts_from_json(spark):
         (1, "p", 2, D("10.50")), (2, "7", 1, 20), (3, "p", 1, 0)]
 
 
+def test_falsy_products_are_none(spark):
+    texts = [f'{{"user_id":1,"product_id":{p}}}' for p in ("0", "0.0", "false", '"0"', "true", "3")]
+    posts = ev.validate_order(ev.parse_order_posts(raw(spark, *texts)))
+    assert [r.id for r in ev.refused(posts).orderBy("id").collect()] == [0, 1, 2]
+
+
 def test_duplicate_email(spark):
     new = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id long, email string")
     old = spark.createDataFrame([("b",)], "email string")
