@@ -8,11 +8,11 @@ many of them at once, so work is in proportion to the bytes.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from orderpulse.llm.common import may_train, share, slices, texts
@@ -25,7 +25,7 @@ SAMPLE, SAMPLE_CHARS = 500, 400
 STEPS, BATCH, RATE, SEED = 150, 256, 0.02, 11
 #: Windows that are read at once.
 ROWS = 4096
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 #: Bytes that are part of a letter: ASCII letters and all of the multi-byte characters.
 LETTER_BYTE = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
 
