@@ -1,9 +1,10 @@
 """Repeated passages by content-defined chunks.
 
-A gear hash rolls over the bytes of a text; where its low bits are zero a chunk ends. A chunk
-border depends on the bytes just before it, so an insertion moves the borders near it only and
-the chunks behind it are the same again. Chunks are told by digest: those that stand in several
-places are repeated, and neighbouring repeated chunks form a passage.
+A gear hash rolls over the bytes of a text; where its low bits are zero a chunk ends, and where
+that doesn't come in time (a word said over and over) at its least value. A chunk border depends
+on the bytes just before it, so an insertion moves the borders near it only and the chunks
+behind it are the same again. Chunks are told by digest: those that stand in several places are
+repeated, and neighbouring repeated chunks form a passage.
 """
 
 from __future__ import annotations
@@ -18,14 +19,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 from orderpulse.llm.common import saved, slices
 
 #: Shortest chunk, bits that must be zero at its end (16 bytes more on average), longest chunk.
-LEAST, BITS, MOST = 12, 4, 256
+LEAST, BITS, MOST = 12, 4, 48
 #: Bytes that the hash remembers: older ones have been shifted out of the tested bits.
 MEMORY = 16
 #: Words of a run of repeated chunks that make it a repeated passage.
-PASSAGE_WORDS = 25
+PASSAGE_WORDS = 20
 #: A pseudo-random number for each byte, from a rule.
 GEAR = np.array([int.from_bytes(hashlib.blake2b(bytes([b]), digest_size=8).digest(), "big")
                  for b in range(256)], np.uint64)
+BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 
 
 def gear_hash(raw: np.ndarray) -> np.ndarray:
@@ -42,31 +44,33 @@ def borders(raw: bytes) -> list[int]:
     """Ends of the chunks of a text; none for an empty one."""
     if not raw:
         return []
-    mask = np.uint64(((1 << BITS) - 1) << (MEMORY - BITS))
-    ends = np.flatnonzero((gear_hash(np.frombuffer(raw, np.uint8)) & mask) == 0) + 1
+    h = (gear_hash(np.frombuffer(raw, np.uint8)) & np.uint64((1 << MEMORY) - 1)).astype(np.int64)
+    ends = np.flatnonzero(h < 1 << (MEMORY - BITS)) + 1
     found, start, size = [], 0, len(raw)
-    for end in ends.tolist():
+    for end in [*ends.tolist(), size]:
         while end - start > MOST:
-            start += MOST
+            start += LEAST + int(h[start + LEAST - 1:start + MOST].argmin())
             found.append(start)
-        if end - start >= LEAST:
+        if end - start >= LEAST or start < end == size:
             start = end
             found.append(end)
-    while size - start > MOST:
-        start += MOST
-        found.append(start)
-    if start < size:
-        found.append(size)
     return found
 
 
+def words_of(raw: bytes, ends: list[int]) -> list[int]:
+    """How many words begin in each chunk."""
+    begins = ~BLANK[np.frombuffer(raw, np.uint8)]
+    begins[1:] &= ~begins[:-1]
+    return np.diff(np.r_[0, np.cumsum(begins)][[0, *ends]]).tolist()
+
+
 def chunks(docs: DataFrame, places: bool = True) -> DataFrame:
     """(row, digests, places): the chunks of each text in order, of distinct digests only if
     ``places`` is false.
 
     ``row`` is a hash of doc_id and text. A digest is 64 bits long: a passage takes several
     equal ones in a row. A place is start, length and words in one long: 2^17 start + 2^8
-    length + words, as a chunk has at most MOST = 256 bytes.
+    length + words, as a chunk has at most MOST = 48 bytes.
     """
     rows = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text")
 
@@ -81,8 +85,8 @@ def chunks(docs: DataFrame, places: bool = True) -> DataFrame:
                 found = np.frombuffer(b"".join(
                     [hashlib.blake2b(p, digest_size=8).digest() for p in parts]), np.int64)
                 digests.append(found if places else np.unique(found))
-                where.append([a << 17 | len(p) << 8 | min(255, len(p.split()))
-                              for a, p in zip(starts, parts)] if places else [])
+                where.append([a << 17 | (b - a) << 8 | n for a, b, n in zip(
+                    starts, ends, words_of(raw, ends))] if places else [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(digests, pa.list_(pa.int64())),
                  pa.array(where, pa.list_(pa.int64()))], ["row", "digests", "places"])

@@ -305,6 +305,18 @@ def test_borders_resist_insertions():
     moved = raw[:5000] + b"inserted words" + raw[5000:]
     assert substrings.borders(raw)[-1] == len(raw) and substrings.borders(b"") == []
     assert len(parts(raw) - parts(moved)) <= 4
+    assert max(map(len, parts(raw))) <= substrings.MOST
+
+
+def test_words_over_and_over_are_cut_alike():
+    cut = lambda r: [r[a:b] for a, b in zip([0, *substrings.borders(r)], substrings.borders(r))]
+    for word in (b"Der ", b"ab ", b"Ononea ", b"a"):
+        run = word * (600 // len(word))
+        one, other = cut(b"some text " + run + b"goes on"), cut(b"x " + run + word + b"ends")
+        assert sum(len(c) for c in one if c in set(other)) >= 500
+    raw = b" one two  three\nfour five six seven eight "
+    ends = substrings.borders(raw * 9)
+    assert sum(substrings.words_of(raw * 9, ends)) == 72 == len((raw * 9).split())
 
 
 def test_gear_hash_rolls():
@@ -366,7 +378,7 @@ def test_language(spark):
     sounds = {"aa": "ka to mi ru".split(), "bb": "sch üng ver ott".split()}
     rows = [(i, " ".join("".join(rng.choice(sounds[lang]) for _ in range(3)) for _ in range(30)), lang)
             for i in range(200) for lang in [("aa", "bb")[i % 2]]]
-    docs = spark.createDataFrame(rows + [(900, None, "aa"), (901, "12 !?", "bb"), (None, "kato", None)],
+    docs = spark.createDataFrame(rows + [(900, None, "aa"), (901, "12 ½² !?", "bb"), (None, "kato", None)],
                                  "doc_id long, text string, lang string")
     found = {r.doc_id: r for r in langid.predict(docs, langid.fit(docs)).collect()}
     assert found[900].lang_pred == found[901].lang_pred == "und"
