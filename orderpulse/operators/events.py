@@ -235,12 +235,14 @@ def new_orders(posts: DataFrame) -> DataFrame:
 def reject_duplicate_email(new: DataFrame, existing: DataFrame, order: str) -> DataFrame:
     """New users with ``error`` where the e-mail is taken.
 
-    ``order`` is a unique column; the lowest one of equal new e-mails wins. Both
-    joins run on one row per e-mail, and a flood of copies of one e-mail spreads
-    over the tasks, because its rows are matched on the e-mail and ``order``.
+    ``order`` is a unique column; the lowest one of equal new e-mails wins. The
+    stored e-mails are cut down to the new ones first, so a small batch is sent to
+    them and they are not shuffled. A flood of copies of one e-mail spreads over the
+    tasks, because its rows are matched on the e-mail and ``order``.
     """
     first = new.groupBy("email").agg(F.min(order).alias(order))
-    taken = existing.select("email").distinct().withColumn("_taken", F.lit(True))
+    taken = (existing.select("email").join(first.select("email"), "email", "left_semi")
+             .distinct().withColumn("_taken", F.lit(True)))
     # An anti join would be moved below the aggregate, to where all copies still are.
     winners = first.join(taken, "email", "left").filter("_taken IS NULL").drop("_taken")
     return (new.join(winners.withColumn("_won", F.lit(True)), ["email", order], "left")

@@ -14,55 +14,57 @@ ERRORS_BELOW = 0.1
 
 
 def exact_percentile(df: DataFrame, column: str, p: float,
-                     at_once: int = 1_000_000) -> float | None:
+                     accuracy: int = 10_000) -> float | None:
     """Exact percentile with linear interpolation between neighbouring ranks.
 
-    Up to ``at_once`` values are ranked by one aggregate. Above that, each pass
-    brackets the wanted ranks with an approximate percentile of known error,
-    counts exactly how many values lie below, on and between the two ends, and
-    goes on with the values strictly between, a few thousandths of the rest. So
-    no task ever holds more than ``at_once`` values, and the driver receives a
-    handful of numbers per pass.
+    Each pass brackets the lower rank with an approximate percentile of known error, counts
+    exactly how many values lie below, on and between the two ends, and goes on with the
+    values strictly between, about four of ``accuracy``; few values are bracketed by
+    themselves, which ends it. One more pass finds the upper rank. No task holds a list of
+    values, and the driver receives a handful of numbers per pass.
     """
     values = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL")
     total = values.count()
     if total == 0:
         return None
-    if total <= at_once:
-        return values.agg(F.percentile("v", p)).first()[0]
     position = p * (total - 1)
-    low, high = math.floor(position), math.ceil(position)
-    at_low = _value_at(values, low, total, at_once)
-    at_high = at_low if high == low else _value_at(values, high, total, at_once)
+    low = math.floor(position)
+    at_low = _value_at(values, low, total, accuracy)
+    if position == low:
+        return at_low
+    v = F.col("v")
+    reached, above = values.agg(F.count_if(v <= at_low), F.min(F.when(v > at_low, v))).first()
+    at_high = at_low if reached > low + 1 else above
     return at_low + (at_high - at_low) * (position - low)
 
 
-def _value_at(values: DataFrame, rank: int, count: int, at_once: int,
-              accuracy: int = 10_000) -> float:
+def _value_at(values: DataFrame, rank: int, count: int, accuracy: int) -> float:
     """The value with that rank (from 0) among ``count`` values."""
-    while count > at_once:
-        share, slack = rank / (count - 1), 2 / accuracy
+    v = F.col("v")
+    while True:
+        share, slack = rank / max(1, count - 1), 2 / accuracy
         low, high = values.agg(F.percentile_approx(
             "v", [max(0.0, share - slack), min(1.0, share + slack)], accuracy)).first()[0]
-        v = F.col("v")
-        below, on_low, between = values.agg(
-            F.count_if(v < low), F.count_if(v == low),
-            F.count_if((v > low) & (v < high))).first()
+        below, on_low, between, on_high = values.agg(
+            F.count_if(v < low), F.count_if(v == low), F.count_if((v > low) & (v < high)),
+            F.count_if(v == high)).first()
         if rank < below:
             values, count = values.filter(v < low), below
-        elif rank < below + on_low:
+            continue
+        rank -= below
+        if rank < on_low:
             return low
-        elif rank < below + on_low + between:
+        rank -= on_low
+        if rank < between:
             values, count = values.filter((v > low) & (v < high)), between
-            rank -= below + on_low
-        else:
-            on_high = 0 if low == high else values.filter(v == high).count()
-            rank -= below + on_low + between
+            continue
+        rank -= between
+        if low < high:
             if rank < on_high:
                 return high
-            values, rank = values.filter(v > high), rank - on_high
-            count -= below + on_low + between + on_high
-    return values.agg(F.get(F.sort_array(F.collect_list("v")), F.lit(rank))).first()[0]
+            rank -= on_high
+            on_low += on_high
+        values, count = values.filter(v > high), count - below - on_low - between
 
 
 def request_summary(requests: DataFrame) -> DataFrame:
