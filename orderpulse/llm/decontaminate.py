@@ -1,9 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Of every few neighbouring n-grams of a test item the one that the corpus has least often is a
-seed, so each intact run of words in a copy holds a seed, however often the item was copied.
-Where a document has a seed, the words around it are aligned with the whole item, and the
-score, as a share of the highest possible one, tells copies and edited copies from chance.
+Every n-gram of a test item is a seed, so each intact run of SEED_WORDS words in a copy holds
+one, however the rest was edited and however often the item was copied. (Rare n-grams alone
+won't do: those across an edit are rarer than the intact ones beside them.) Where a document
+has a seed, the words around it are aligned with the whole item, and the score, as a share of
+the highest possible one, tells copies and edited copies from chance.
 
 Test items are sent to the executors in blocks of bounded size; a larger benchmark is more
 blocks, each over all documents.
@@ -22,8 +23,6 @@ from orderpulse.llm.common import slices, texts
 
 WORDS = re.compile(r"\w+")
 SEED_WORDS = 3
-#: Neighbouring n-grams of an item of which the rarest is a seed.
-SEED_WINDOW = 4
 #: Share of the highest alignment score from which a document counts as contaminated.
 SIMILARITY = 0.5
 MATCH, MISMATCH, GAP = 2, -1, 1
@@ -43,8 +42,12 @@ class Items:
         self.items = [np.array([self.vocabulary[w] for w in ws], np.int64) for ws in words]
         self.base = len(self.vocabulary) + 1
         found = [self.grams(item) for item in self.items]
-        self.known = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
-        self.places = [np.searchsorted(self.known, grams) for grams in found]
+        self.known = np.unique(np.concatenate(found))
+        # The (item, place) of each n-gram stand together, from first[n-gram] on.
+        gram = np.concatenate([np.searchsorted(self.known, grams) for grams in found])
+        where = [(item, at) for item, grams in enumerate(found) for at in range(len(grams))]
+        self.seeds = np.array(where, np.int64).reshape(-1, 2)[np.argsort(gram, kind="stable")]
+        self.first = np.r_[0, np.cumsum(np.bincount(gram, minlength=len(self.known)))]
 
     def grams(self, numbers: np.ndarray) -> np.ndarray:
         """Number of the n-gram at each place, or -1 if it has a word of no item."""
@@ -69,22 +72,6 @@ class Items:
         same = self.known[index] == grams[at]
         return at[same], index[same]
 
-    def choose(self, counts: np.ndarray) -> None:
-        """Make the rarest n-gram of each window a seed."""
-        chosen: dict[int, list[tuple[int, int]]] = {}
-        for item, places in enumerate(self.places):
-            order = counts[places]
-            picked = {a + int(np.argmin(order[a:a + SEED_WINDOW]))
-                      for a in range(max(1, len(places) - SEED_WINDOW + 1))} if len(places) else ()
-            for at in picked:
-                chosen.setdefault(int(places[at]), []).append((item, at))
-        self.first = np.zeros(len(self.known) + 1, np.int64)
-        for gram, where in chosen.items():
-            self.first[gram + 1] = len(where)
-        self.first = np.cumsum(self.first)
-        flat = [pair for gram in sorted(chosen) for pair in chosen[gram]]
-        self.seeds = np.array(flat, np.int64).reshape(-1, 2)
-
 
 def align(items: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Best Smith-Waterman score of each row of ``items`` in its row of ``windows``, and the
@@ -158,19 +145,6 @@ def matches(block: Items, texts_: list[str], similarity: float) -> list[list[tup
     return [list(found.values()) for found in best]
 
 
-def _count_grams(block):
-    def run(batches):
-        items = block.value
-        counts = np.zeros(len(items.known), np.int64)
-        for batch in slices(batches):
-            for text in texts(batch.column(0)):
-                _, gram = items.hits(items.numbers(text))
-                counts += np.bincount(gram, minlength=len(counts))
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["gram", "n"])
-    return run
-
-
 def blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """Test items in blocks of about BLOCK_CHARS characters. Rows without item_id or without
     as many words as a seed are no test items; the same row twice counts once."""
@@ -203,24 +177,14 @@ def _leak_arrays(seeds, similarity: float):
     return run
 
 
-def leaks_in(text: Column, docs: DataFrame, benchmark: DataFrame,
-             similarity: float = SIMILARITY) -> Column:
+def leaks_in(text: Column, benchmark: DataFrame, similarity: float = SIMILARITY) -> Column:
     """The test items that the whole text holds, with the alignment score as a share of the
-    highest, the words of the item, and the word of the text where the alignment ends. ``docs``
-    is the corpus whose n-gram counts tell which seeds are rare. Null and empty texts hold none.
+    highest, the words of the item, and the word of the text where the alignment ends. Copies
+    with SEED_WORDS intact words in a row are looked at. Null and empty texts hold none.
     """
-    spark, found = docs.sparkSession, [F.expr(f"cast(array() as {LEAK})")]
+    spark, found = benchmark.sparkSession, [F.expr(f"cast(array() as {LEAK})")]
     for rows in blocks_of(benchmark):
-        block = Items(rows)
-        sent = spark.sparkContext.broadcast(block)
-        counted = docs.select("text").mapInArrow(_count_grams(sent), "gram long, n long").groupBy(
-            "gram").agg(F.sum("n").alias("n")).collect()
-        counts = np.zeros(len(block.known), np.int64)
-        for row in counted:
-            counts[row.gram] = row.n
-        block.choose(counts)
-        seeds = spark.sparkContext.broadcast(block)
-
+        seeds = spark.sparkContext.broadcast(Items(rows))
         found.append(F.arrow_udf(_leak_arrays(seeds, similarity), LEAK)(text))
     return found[0] if len(found) == 1 else found[1] if len(found) == 2 else F.concat(*found[1:])
 
@@ -230,11 +194,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
 
     Repeated documents give repeated rows, clean ones none; a null doc_id stays null.
     """
-    found = docs.select("doc_id", leaks_in(F.col("text"), docs, benchmark, similarity)
+    found = docs.select("doc_id", leaks_in(F.col("text"), benchmark, similarity)
                         .alias("found"))
     return found.select("doc_id", F.explode("found").alias("m")).select("doc_id", "m.*")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that hold no test item, with all their columns."""
-    return docs.filter(F.size(leaks_in(F.col("text"), docs, benchmark, similarity)) == 0)
+    return docs.filter(F.size(leaks_in(F.col("text"), benchmark, similarity)) == 0)

@@ -217,6 +217,23 @@ def test_edited_copies_are_found(spark):
     assert decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_copies_with_regular_edits_are_found(spark):
+    rng = random.Random(8)
+    items = [(k, prose(rng, 36)) for k in range(12)]
+    rows = []
+    for k, text in items:
+        every = 4 + k % 3
+        words = [f"edit{k}x{i}" if i % every == every - 1 else w
+                 for i, w in enumerate(text.split())]
+        rows.append((100 + k, prose(rng, 40) + " " + " ".join(words)))
+    # Whole copies too make the n-grams across an edit rarer than the intact ones, but not unseen.
+    rows += [(k, text) for k, text in items if k % 2]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(
+        spark.createDataFrame(rows, "doc_id long, text string"), bench).collect())
+    assert got == sorted((doc_id, doc_id % 100) for doc_id, _ in rows)
+
+
 def test_blocks_give_the_same(spark, monkeypatch):
     rng = random.Random(2)
     items = [(k, prose(rng, 20)) for k in range(12)]
