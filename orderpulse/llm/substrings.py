@@ -3,8 +3,8 @@
 A gear hash rolls over the bytes of a text; where its low bits are zero a chunk ends, and where
 that doesn't come in time (a word said over and over) at its least value. A chunk border depends
 on the bytes just before it, so an insertion moves the borders near it only and the chunks
-behind it are the same again. Chunks are told by digest: those that stand in several places are
-repeated, and neighbouring repeated chunks form a passage.
+behind it are the same again. Chunks are told by digest: those that stand in several places, be
+it of one text or of several, are repeated, and neighbouring repeated chunks form a passage.
 """
 
 from __future__ import annotations
@@ -65,8 +65,8 @@ def words_of(raw: bytes, ends: list[int]) -> list[int]:
 
 
 def chunks(docs: DataFrame, places: bool = True) -> DataFrame:
-    """(row, digests, places): the chunks of each text in order, of distinct digests only if
-    ``places`` is false.
+    """(row, digests, places): the chunks of each text in order; if ``places`` is false, the
+    distinct digests, and in place of places how many chunks have each.
 
     ``row`` is a hash of doc_id and text. A digest is 64 bits long: a passage takes several
     equal ones in a row. A place is start, length and words in one long: 2^17 start + 2^8
@@ -84,9 +84,14 @@ def chunks(docs: DataFrame, places: bool = True) -> DataFrame:
                 parts = [raw[a:b] for a, b in zip(starts, ends)]
                 found = np.frombuffer(b"".join(
                     [hashlib.blake2b(p, digest_size=8).digest() for p in parts]), np.int64)
-                digests.append(found if places else np.unique(found))
-                where.append([a << 17 | (b - a) << 8 | n for a, b, n in zip(
-                    starts, ends, words_of(raw, ends))] if places else [])
+                if places:
+                    digests.append(found)
+                    where.append([a << 17 | (b - a) << 8 | n for a, b, n in zip(
+                        starts, ends, words_of(raw, ends))])
+                else:
+                    found, times = np.unique(found, return_counts=True)
+                    digests.append(found)
+                    where.append(times)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(digests, pa.list_(pa.int64())),
                  pa.array(where, pa.list_(pa.int64()))], ["row", "digests", "places"])
@@ -95,35 +100,40 @@ def chunks(docs: DataFrame, places: bool = True) -> DataFrame:
 
 
 def repeated(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> DataFrame:
-    """(doc_id, start, end, n_words, n_chunks, copies): the repeated passages of each document.
+    """(doc_id, start, end, n_words, n_chunks, copies, places): the repeated passages of each
+    document.
 
-    A passage is a longest run of chunks that each stand in at least two rows, with at least
-    ``passage_words`` words; ``start`` and ``end`` are bytes, and ``copies`` is how many rows
-    hold its rarest chunk. Null and empty texts hold none. The same row twice is two copies,
+    A passage is a longest run of chunks that each stand in at least two places, of one row or
+    of several, with at least ``passage_words`` words; ``start`` and ``end`` are bytes,
+    ``copies`` is how many rows hold its rarest chunk, and ``places`` how often its rarest chunk
+    stands in all rows. Null and empty texts hold none. The same row twice is two copies,
     listed once. Each chunk crosses the network once to be counted, summed in each task first,
     and once to meet its count, where a very common chunk is a skewed join key.
     """
-    parts = chunks(docs).select("row", F.explode(F.arrays_zip(
-        F.col("digests").alias("digest"), F.col("places").alias("place"))).alias("c")).select(
-        "row", "c.digest", "c.place")
-    common = (chunks(docs, places=False).select(F.explode("digests").alias("digest"))
-              .groupBy("digest").agg(F.count("*").alias("copies")).filter("copies > 1"))
+    def each(rows: DataFrame) -> DataFrame:
+        return rows.select("row", F.explode(F.arrays_zip(
+            F.col("digests").alias("digest"), F.col("places").alias("place"))).alias("c")).select(
+            "row", "c.digest", "c.place")
+
+    common = (each(chunks(docs, places=False)).groupBy("digest")
+              .agg(F.count("*").alias("copies"), F.sum("place").alias("places"))
+              .filter("places > 1"))
     # Written, so that the join deals both sides anew and a very common chunk can be split.
-    twice = parts.join(saved(common, "repeated-chunks"), "digest").groupBy("row", "place").agg(
-        F.first("copies").alias("copies"))
+    twice = each(chunks(docs)).join(saved(common, "repeated-chunks"), "digest").groupBy(
+        "row", "place").agg(F.first("copies").alias("copies"), F.first("places").alias("places"))
     start = F.shiftright("place", 17)
     order = Window.partitionBy("row").orderBy("start")
     runs = (twice.select("row", start.alias("start"), (start + F.shiftright("place", 8)
                          .bitwiseAND(F.lit(511))).alias("end"),
-                         F.col("place").bitwiseAND(F.lit(255)).alias("words"), "copies")
+                         F.col("place").bitwiseAND(F.lit(255)).alias("words"), "copies", "places")
             .withColumn("new", F.coalesce((F.lag("end").over(order) != F.col("start"))
                                           .cast("int"), F.lit(1)))
             .withColumn("run", F.sum("new").over(order)))
     found = (runs.groupBy("row", "run")
              .agg(F.min("start").alias("start"), F.max("end").alias("end"),
                   F.sum("words").alias("n_words"), F.count("*").alias("n_chunks"),
-                  F.min("copies").alias("copies"))
+                  F.min("copies").alias("copies"), F.min("places").alias("places"))
              .filter(F.col("n_words") >= passage_words))
     names = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row")).distinct()
     return found.join(names, "row").select("doc_id", "start", "end", "n_words", "n_chunks",
-                                           "copies")
+                                           "copies", "places")

@@ -360,6 +360,19 @@ def test_repeated_passages(spark, docs):
     assert substrings.repeated(docs.limit(0)).count() == 0
 
 
+def test_passages_twice_in_one_text(spark):
+    rng = random.Random(18)
+    passage = prose(rng, 60)
+    text = f"{prose(rng, 40)} {passage} {prose(rng, 40)} {passage} {prose(rng, 40)}"
+    rows = [(1, text), (2, prose(rng, 200))]
+    found = substrings.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.doc_id for r in found] == [1, 1]
+    for r in found:
+        part = text.encode()[r.start:r.end].decode()
+        assert len(set(part.split()) - set(passage.split())) <= 2
+        assert r.n_words >= 50 and (r.copies, r.places) == (1, 2)
+
+
 # Top k
 
 def test_top_k(spark, monkeypatch):
