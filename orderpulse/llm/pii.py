@@ -4,7 +4,8 @@ The base rules find e-mail addresses, IP addresses, card and phone numbers by fo
 find are the seed entities. Every identifier-like string of the corpus is an instance; the word
 before it and the kind of its form are its context. Contexts that hold seeds are patterns. In
 rounds, a pattern of a kind is as trustworthy as the instances it holds, counted once each, and
-an instance as the patterns that hold it. Instances that no base rule accepts but trustworthy
+an instance as the best pattern that holds it; instances that have become trustworthy count as
+seeds of their other contexts, which so become patterns of the next round. Instances that no base rule accepts but trustworthy
 patterns do (a card number with a slip in a digit, a number without its country code, an
 address written with "[at]") are added as spans.
 """
@@ -127,35 +128,36 @@ def _fits(kind: Column, value: Column) -> Column:
             .otherwise(n.between(7, 15)))
 
 
-def scored_instances(edges: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT) -> DataFrame:
+def scored_instances(edges: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT,
+                     bound: float = TRUST) -> DataFrame:
     """(value, kind, trust) of the instances of the graph that are no seeds.
 
     ``edges`` are distinct (before, value, seed): the context, the instance, and the kind that
-    the base rules gave it or null. In each round the trust of a pattern in a kind is the mean
-    trust of its instances, those of other kinds counting as zero; patterns with fewer seeds
-    than ``support`` have none. The trust of an instance is the mean over its patterns.
+    the base rules gave it or null. In each round the patterns are built anew: contexts that
+    hold at least ``support`` seeds of a kind, instances whose trust has reached ``bound``
+    included. The trust of a pattern is the mean trust of its instances, those of other kinds
+    counting as zero. The trust of an instance is that of its best pattern, so contexts that
+    are no patterns take nothing from it.
     """
-    patterns = edges.groupBy("before").agg(
+    contexts = edges.groupBy("before").agg(
         F.count("*").alias("all"),
         *(F.sum((F.col("seed") == k).cast("long")).alias(f"k{k}") for k in range(len(KINDS))))
-    seeds = patterns.select("before", "all", F.explode(F.array(*(
+    seeds = saved(contexts.select("before", "all", F.explode(F.array(*(
         F.struct(F.lit(k).alias("kind"), F.coalesce(F.col(f"k{k}"), F.lit(0)).alias("seeds"))
-        for k in range(len(KINDS))))).alias("s")).select("before", "all", "s.*").filter(
-        F.col("seeds") >= support)
-    open_ = edges.filter("seed is null").select("before", "value")
-    links = saved(open_.join(seeds, "before").filter(_fits(F.col("kind"), F.col("value"))),
-                  "pii-links")
-    degree = open_.groupBy("value").agg(F.count("*").alias("contexts"))
+        for k in range(len(KINDS))))).alias("s")).select("before", "all", "s.*"), "pii-contexts")
+    kinds = F.explode(F.array(*map(F.lit, range(len(KINDS)))))
+    links = saved(edges.filter("seed is null").select("before", "value", kinds.alias("kind"))
+                  .filter(_fits(F.col("kind"), F.col("value"))), "pii-links")
     trust = links.select("value", "kind").distinct().withColumn("trust", F.lit(0.0))
     for _ in range(rounds):
-        held = links.join(trust, ["value", "kind"])
-        of_pattern = held.groupBy("before", "kind").agg(
-            ((F.first("seeds") + F.sum("trust")) / F.first("all")).alias("p"))
+        held = links.join(trust, ["value", "kind"]).groupBy("before", "kind").agg(
+            F.sum("trust").alias("given"), F.count_if(F.col("trust") >= bound).alias("known"))
+        patterns = held.join(seeds, ["before", "kind"]).filter(
+            F.col("seeds") + F.col("known") >= support).select(
+            "before", "kind", ((F.col("seeds") + F.col("given")) / F.col("all")).alias("p"))
         # Of what the context holds besides seeds, each instance gets the benefit of the seeds.
-        of_value = links.join(of_pattern, ["before", "kind"]).groupBy("value", "kind").agg(
-            F.sum("p").alias("p"))
-        trust = saved(of_value.join(degree, "value").select(
-            "value", "kind", (F.col("p") / F.col("contexts")).alias("trust")), "pii-trust")
+        trust = saved(links.join(patterns, ["before", "kind"]).groupBy("value", "kind").agg(
+            F.max("p").alias("trust")), "pii-trust")
     return trust
 
 
@@ -178,7 +180,7 @@ def find(docs: DataFrame, trust: float = TRUST) -> DataFrame:
                        F.regexp_replace("f.value", r"[\s().-]", "").alias("plain"),
                        F.col("f.value").alias("value"), F.get(over, F.lit(0))["kind"].alias("seed"))
     edges = saved(seen.groupBy("before", "value").agg(F.max("seed").alias("seed")), "pii-edges")
-    chosen = scored_instances(edges).filter(F.col("trust") >= trust).groupBy("value").agg(
+    chosen = scored_instances(edges, bound=trust).filter(F.col("trust") >= trust).groupBy("value").agg(
         F.max_by("kind", F.struct("trust", -F.col("kind"))).alias("kind"))
     added = (seen.filter("seed is null").join(chosen, "value")
              .groupBy("doc_id", "text_hash")

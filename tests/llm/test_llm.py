@@ -305,6 +305,24 @@ def test_contexts_find_unseen_identifiers(spark):
     assert found[101] == ("", "")
 
 
+def test_patterns_grow_by_what_they_find(spark):
+    def card(k, slip):
+        digits = f"4{k:014d}"
+        check = -sum(d if i % 2 else 2 * d - 9 * (d > 4)
+                     for i, d in enumerate(map(int, digits[::-1]))) % 10
+        return f"{digits}{(check + slip) % 10}"
+
+    slips = [card(800 + k, 1) for k in range(6)]
+    texts = [f"my card: {card(k, 0)} end" for k in range(60)]
+    texts += [f"my {word} {n} end" for n in slips for word in ("card:", "visa")]
+    # Found by the second context only, in a neutral one too, and in neutral ones only.
+    texts += [f"my visa {card(900, 1)} end", f"near {slips[0]} end", f"near {card(901, 1)} end"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.find(rows).select(
+        "doc_id", pii.written(F.col("spans")).alias("spans")).collect()}
+    assert all(found[i] for i in range(74)) and found[74] == ""
+
+
 def test_redaction(docs):
     clean = pii.redact(docs, pii.find(docs))
     assert clean.columns == docs.columns
