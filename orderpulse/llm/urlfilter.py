@@ -2,16 +2,15 @@
 
 A list is a history of dated entries. The entries of a key become validity intervals, those of
 several lists are swept into stretches that do not overlap, and every capture is joined with
-the stretch of its keys that holds its time. Stretches and captures meet by key and time slot,
-so a host that a third of all captures share is spread over time.
+the stretches of its keys that hold its time: the URL, its path and the beginnings of it, its
+host and all parents of it. Stretches and captures meet by key and time slot, so a host that a
+third of all captures share is spread over time.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Keys of a URL, the most special first.
-KEYS = ("path", "host", "domain")
 #: Seconds of a time slot.
 SLOT = 30 * 24 * 3600
 
@@ -33,6 +32,28 @@ def path_of(url: Column) -> Column:
     return F.when(part != "", F.concat(host_of(url), F.lit("/"), part))
 
 
+def keys_of(url: Column) -> Column:
+    """The keys by which a list can name a URL, the most special first; empty if it has no host.
+
+    They are the URL as it stands, host and path with the query, host and each beginning of the
+    path that ends with a part of it (no slash at the end), the host, and its parents.
+    """
+    host, none = host_of(url), F.expr("cast(array() as array<string>)")
+    rest = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^#]*)", 1)
+    parts = F.split(F.regexp_extract(rest, r"^/([^?]*)", 1), "/")
+    labels = F.split(host, r"\.")
+    # From the last part, of those that are not empty.
+    paths = F.transform(F.filter(F.sequence(F.size(parts), F.lit(1), F.lit(-1)),
+                                 lambda n: F.get(parts, n - 1) != ""),
+                        lambda n: F.concat(host, F.lit("/"), F.array_join(
+                            F.slice(parts, F.lit(1), n), "/")))
+    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.array_join(
+        F.slice(labels, n, F.size(labels)), "."))
+    found = F.concat(F.array(url, F.concat(host, rest)), paths, parents)
+    return F.when(host.isNull(), none).otherwise(
+        F.array_distinct(F.filter(found, lambda key: key != "")))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """(key, since, until, n_lists): when a key is on lists, and on how many.
 
@@ -59,32 +80,25 @@ def intervals(entries: DataFrame) -> DataFrame:
 def judged(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """``captures`` (page_id, url, fetched) with ``rule``, ``n_lists`` and ``blocked``.
 
-    ``rule`` is the most special key of the URL (path, host, domain) on a list at the time
+    ``rule`` is the most special key of the URL (see ``keys_of``) on a list at the time
     ``fetched`` (whole seconds), or null. Captures without a URL or a time are not blocked.
     Repeated captures give repeated results.
     """
-    known = captures.select("page_id", "url", "fetched", path_of(F.col("url")).alias("path"),
-                            host_of(F.col("url")).alias("host"),
-                            domain_of(F.col("url")).alias("domain"),
-                            F.floor(F.col("fetched") / SLOT).alias("slot"))
+    asked = (captures.select("url", "fetched").filter("url is not null and fetched is not null")
+             .distinct().select("url", "fetched", F.floor(F.col("fetched") / SLOT).alias("slot"),
+                                F.posexplode(keys_of(F.col("url"))).alias("depth", "key")))
     end = captures.agg(F.max("fetched").alias("end"))
     slots = F.sequence(F.floor(F.col("since") / SLOT), F.floor(
         F.least(F.coalesce(F.col("until") - 1, F.col("end")), F.col("end")) / SLOT))
     # The newest capture is one row, so this join pairs nothing.
     spread = (intervals(entries).join(F.broadcast(end), F.col("since") <= F.col("end"))
-              .select("key", "since", "until", "n_lists", F.explode(slots).alias("at_slot")))
-    for kind in KEYS:
-        own = spread.select(
-            F.col("key").alias(f"{kind}_key"), F.col("since").alias(f"{kind}_since"),
-            F.col("until").alias(f"{kind}_until"), F.col("n_lists").alias(f"{kind}_lists"),
-            F.col("at_slot").alias(f"{kind}_slot"))
-        known = known.join(own, (F.col(kind) == F.col(f"{kind}_key"))
-                           & (F.col("slot") == F.col(f"{kind}_slot"))
-                           & (F.col("fetched") >= F.col(f"{kind}_since"))
-                           & (F.col(f"{kind}_until").isNull()
-                              | (F.col("fetched") < F.col(f"{kind}_until"))), "left")
-    return known.select("page_id", "url", "fetched",
-                        F.coalesce(*(F.col(f"{k}_key") for k in KEYS)).alias("rule"),
-                        F.coalesce(*(F.col(f"{k}_lists") for k in KEYS), F.lit(0)).cast("long")
-                        .alias("n_lists"),
-                        F.coalesce(*(F.col(f"{k}_key") for k in KEYS)).isNotNull().alias("blocked"))
+              .select("key", "since", "until", "n_lists", F.explode(slots).alias("slot")))
+    hits = asked.join(spread, ["key", "slot"]).filter(
+        "fetched >= since and (until is null or fetched < until)")
+    best = hits.groupBy("url", "fetched").agg(F.min_by(
+        F.struct("key", "n_lists"), "depth").alias("best"))
+    return captures.select("page_id", "url", "fetched").join(
+        best, ["url", "fetched"], "left").select(
+        "page_id", "url", "fetched", F.col("best.key").alias("rule"),
+        F.coalesce("best.n_lists", F.lit(0)).cast("long").alias("n_lists"),
+        F.col("best.key").isNotNull().alias("blocked"))

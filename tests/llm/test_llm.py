@@ -510,6 +510,21 @@ def test_url_filters(spark):
     assert urlfilter.judged(captures, entries.limit(0)).filter("blocked").count() == 0
 
 
+def test_parents_and_deeper_paths_are_blocked(spark):
+    cases = [(1, "http://www.evil.co.uk/a", "evil.co.uk"), (2, "http://evil.co.uk", "evil.co.uk"),
+             (3, "http://notevil.co.uk/", None), (4, "http://a.b.c.evil.co.uk/x?y", "c.evil.co.uk"),
+             (5, "http://ok.org/one/two/three", "ok.org/one/two"), (6, "http://ok.org/one/twofold", None),
+             (7, "http://ok.org/q?id=1#top", "ok.org/q?id=1"), (8, "http://ok.org/q?id=2", None),
+             (9, "https://OK.org:8/z", "https://OK.org:8/z"), (10, "http://ok.org//one/two", None),
+             (11, "http://x.zip", "zip"), (12, "http://ok.org/one/two/", "ok.org/one/two")]
+    entries = spark.createDataFrame([("l", key, "add", 5) for key in {c[2] for c in cases} - {None}],
+                                    "list string, key string, action string, at long")
+    captures = spark.createDataFrame([(c[0], c[1], 9) for c in cases],
+                                     "page_id long, url string, fetched long")
+    got = sorted((r.page_id, r.url, r.rule) for r in urlfilter.judged(captures, entries).collect())
+    assert got == cases
+
+
 # Odd rows and the whole pipeline
 
 def test_odd_rows_everywhere(docs):
