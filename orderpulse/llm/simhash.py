@@ -49,23 +49,24 @@ def fingerprint_of(words: list[bytes], shingle: int) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id",
                  text: str = "text") -> DataFrame:
-    """(key, fingerprint) of every row, over its whole text.
+    """(key, text_hash, fingerprint) of every row, over its whole text.
 
     A-Z are lower-cased, words are what stands between ASCII white space. Null and empty
     texts have fingerprint zero; fewer words than a shingle are one shingle.
     """
-    rows = docs.select(F.col(key), F.col(text).alias("text"))
+    rows = docs.select(F.col(key), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
 
     def run(batches):
         for batch in slices(batches):
             column = batch.column(1).cast(pa.binary())
             found = [fingerprint_of((t or b"").lower().split(), shingle)
                      for t in column.to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())],
-                                             [batch.schema.names[0], "fingerprint"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(found, pa.int64())],
+                [batch.schema.names[0], "text_hash", "fingerprint"])
 
     kind = rows.schema[0].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{key}` {kind}, fingerprint long")
+    return rows.mapInArrow(run, f"`{key}` {kind}, text_hash long, fingerprint long")
 
 
 def _counts(half: Column) -> Column:
@@ -195,11 +196,12 @@ def near_links(prints: DataFrame, bits: int = 3) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
-    """(key, fingerprint long, component_id) of every row of ``docs``.
+    """(key, text_hash, fingerprint long, component_id, component) of every row of ``docs``.
 
     ``component_id`` is the smallest key that is reached over links of at most ``bits``
     differing bits. Rows with a null key are linked too but name no component; where no row
-    of a component has a key, it is null. Repeated rows give repeated results, an empty table
+    of a component has a key, it is null. ``component`` is the smallest fingerprint that is
+    reached, which tells components apart where one key stands with several texts. Repeated rows give repeated results, an empty table
     none; other columns are not looked at.
     """
     own = saved(fingerprints(docs, shingle, key, text), "fingerprints")
@@ -209,14 +211,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, key: str =
     named = prints.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "low_doc", F.coalesce("low", "fp").alias("low"))
     least = named.groupBy("low").agg(F.min("low_doc").alias("component_id"))
-    named = named.join(least, "low").select(F.col("fp").alias("fingerprint"), "component_id")
-    return own.join(named, "fingerprint").select(key, "fingerprint", "component_id")
+    named = named.join(least, "low").select(F.col("fp").alias("fingerprint"), "component_id",
+                                            F.col("low").alias("component"))
+    return own.join(named, "fingerprint").select(key, "text_hash", "fingerprint", "component_id",
+                                                 "component")
 
 
 def first_of_each(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: the smallest doc_id of each component, once. Rows without
+    """The rows of ``docs`` that stay: of each component one row with its smallest doc_id. Where
+    one doc_id stands with several texts, each is judged in its own component. Rows without
     doc_id can't be told apart and stay."""
-    gone = members.filter("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).union(
-        kept.filter("doc_id is null"))
+    stay = members.filter("doc_id = component_id").groupBy("doc_id", "component").agg(
+        F.min("text_hash").alias("_hash"))
+    kept = docs.withColumn("_hash", F.xxhash64("text")).join(stay, ["doc_id", "_hash"], "left_semi")
+    return kept.dropDuplicates(["doc_id", "_hash"]).select(docs.columns).union(
+        docs.filter("doc_id is null"))

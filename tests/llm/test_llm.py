@@ -150,6 +150,16 @@ def test_one_of_each_group_stays(docs):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 4, 6, 8]
 
 
+def test_texts_under_one_id_stay_by_component(spark):
+    rng = random.Random(28)
+    a, b, c = (prose(rng, 80) for _ in range(3))
+    # 2 is a copy of 1, and the smallest of another component; 5 has two texts of its own.
+    rows = [(1, a), (2, a), (2, b), (3, b), (5, c), (5, prose(rng, 80)), (5, c), (6, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = simhash.first_of_each(docs, simhash.near_duplicates(docs)).collect()
+    assert sorted(map(tuple, kept)) == sorted([(1, a), (2, b), (5, c), (5, rows[5][1])])
+
+
 # Toxicity
 
 def toxic_tables(spark):
