@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from orderpulse.llm import (bpe, decontaminate, langid, pii, simhash, substrings, token_counts,
-                            topk, toxicity, urlfilter)
+from orderpulse.llm import (bpe, decontaminate, langid, negatives, pii, simhash, substrings,
+                            token_counts, topk, toxicity, urlfilter)
 from orderpulse.llm.common import held_out, saved, table
 from orderpulse.session import fresh_path
 
@@ -184,7 +184,37 @@ best AS (SELECT page_id, arg_min(key, depth) AS rule, arg_min(n, depth) AS n FRO
 SELECT page_id, url, fetched, rule, coalesce(n, 0) AS n_lists, rule IS NOT NULL AS blocked
 FROM k LEFT JOIN best USING (page_id)"""
 
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+        .alias("label"))
+    return negatives.mine(vectors, every=100, positives=5, negatives=5, low=80, high=100)
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS rid, * FROM (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+      [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+      AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0)),
+s AS (
+  SELECT a.rid AS anchor, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    list_dot_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.rid <> c.rid AND len(a.e) = len(c.e)),
+p AS (
+  SELECT anchor, anchor_id, vec_id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS place
+  FROM s WHERE same QUALIFY place <= 5)
+SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+  row_number() OVER (PARTITION BY p.anchor, place ORDER BY score DESC, vec_id)::INTEGER AS rank
+FROM p JOIN s ON s.anchor = p.anchor AND NOT same
+  AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5"""
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_byte_bpe, op3_token_counts, op4_simhash, op5_language, op6_toxicity,
-    op7_personal_data, op8_substrings, op9_top_k, op10_url_filters)}
-ORACLES = {"op3_token_counts": OP3_SQL, "op9_top_k": OP9_SQL, "op10_url_filters": OP10_SQL}
+    op7_personal_data, op8_substrings, op9_top_k, op10_url_filters, op11_hard_negatives)}
+ORACLES = {"op3_token_counts": OP3_SQL, "op9_top_k": OP9_SQL, "op10_url_filters": OP10_SQL,
+           "op11_hard_negatives": OP11_SQL}

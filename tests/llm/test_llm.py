@@ -48,7 +48,7 @@ def test_against_sql(spark, name):
 
 
 def test_registered():
-    assert len([k for k in entry.queries() if re.match(r"op\d+_", k)]) == 10
+    assert len([k for k in entry.queries() if re.match(r"op\d+_", k)]) == 13
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
