@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from orderpulse.llm import (bpe, decontaminate, langid, negatives, pii, simhash, substrings,
-                            token_counts, topk, toxicity, urlfilter)
+from orderpulse.llm import (bpe, conversations, decontaminate, langid, negatives, pii, simhash,
+                            substrings, token_counts, topk, toxicity, urlfilter)
 from orderpulse.llm.common import held_out, saved, table
 from orderpulse.session import fresh_path
 
@@ -213,8 +213,98 @@ FROM p JOIN s ON s.anchor = p.anchor AND NOT same
   AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
 QUALIFY rank <= 5"""
 
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with known faults: of twenty rows one is dropped, one emptied, one cut off,
+    one repeated and one given to the user. Nulls count as one space."""
+    conv, turn = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))
+    fate = F.crc32(F.concat(conv, F.lit(":"), turn).cast("binary")) % 20
+    role, text = (F.coalesce(c, F.lit(" ")) for c in ("role", "text"))
+    return rows.withColumn("fate", fate).filter("fate != 0").select(
+        "conv_id", "turn", F.when(F.col("fate") == 4, "user").otherwise(role).alias("role"),
+        F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.regexp_replace(
+            text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.sequence(F.lit(0), F.when(F.col("fate") == 3, 1).otherwise(0))).alias("copy"))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    found = conversations.summaries(damaged(rows)).alias("f")
+    every = rows.select("conv_id").distinct().alias("c")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(found, F.col("c.conv_id").eqNullSafe(F.col("f.conv_id")), "left").select(
+        "c.conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_reduce([4294967295] || [ord(c)::BIGINT FOR c IN string_split(
+      coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')],
+      lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i:
+        CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc
+  FROM conversations),
+fates AS (SELECT *, xor(crc, 4294967295) % 20 AS fate FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END
+      AS text, unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fates WHERE fate <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (
+      PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+    rtrim(text, E' 	
+') AS body, left(role, 1) AS ini FROM damaged),
+faults AS (
+  SELECT *, lag(ini) OVER (PARTITION BY conv_id ORDER BY n) AS prev,
+    CASE WHEN body = '' THEN 1
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 2
+      WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault FROM numbered),
+inserts(came, goes, extra, more, msgs) AS (VALUES
+  (0, 0, 0, '', []::VARCHAR[]), (0, 2, 3, 'I', ['user:']), (0, 3, 6, 'II', ['user:', 'assistant:']),
+  (1, 1, 0, '', []), (1, 2, 3, 'I', ['user:']), (1, 3, 6, 'II', ['user:', 'assistant:']),
+  (2, 2, 0, '', []), (2, 3, 3, 'I', ['assistant:']), (3, 3, 0, '', []), (3, 2, 3, 'I', ['user:'])),
+ways AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS n, goes AS state, extra AS cost, more AS audit, msgs
+  FROM faults, inserts WHERE came = 0
+  UNION ALL
+  SELECT conv_id, n, goes, cost + extra, audit || more, m || i.msgs FROM (
+    SELECT w.conv_id, f.n, w.cost + CASE e.edit WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+        + CASE WHEN fault = 3 AND e.edit <> 'D' THEN 3 ELSE 0 END AS cost,
+      w.audit || e.edit AS audit,
+      CASE e.edit WHEN 'D' THEN state WHEN 'R' THEN CASE state WHEN 2 THEN 3 ELSE 2 END
+        ELSE CASE WHEN state = 0 AND ini = 's' THEN 1 WHEN state <> 2 AND ini = 'u' THEN 2
+          WHEN state = 2 AND ini = 'a' THEN 3 END END AS state,
+      w.msgs || CASE e.edit WHEN 'D' THEN [] WHEN 'K' THEN [role || ':' || text]
+        ELSE [CASE state WHEN 2 THEN 'assistant:' ELSE 'user:' END || text] END AS m
+    FROM ways w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.n + 1
+    JOIN (VALUES ('D'), ('K'), ('R')) AS e(edit) ON e.edit = 'D' OR fault IN (0, 3)) AS c
+  JOIN inserts i ON i.came = c.state
+  QUALIFY row_number() OVER (
+    PARTITION BY conv_id, goes ORDER BY cost + extra, audit || more) = 1),
+found AS (
+  SELECT conv_id, min(turn) AS lo, max(turn) AS hi, count(DISTINCT turn) AS turns, max(n) AS n,
+    count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+    count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (prev IS NOT NULL AND prev || ini NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id),
+best AS (
+  SELECT f.*, w.cost, w.audit, sha256(array_to_string(w.msgs, chr(10))) AS sha
+  FROM found f JOIN ways w ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.n = f.n
+  WHERE state IN (0, 3)
+  QUALIFY row_number() OVER (PARTITION BY f.conv_id ORDER BY w.cost, w.audit) = 1)
+SELECT c.conv_id, coalesce(hi - lo + 1 - turns, 0) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_byte_bpe, op3_token_counts, op4_simhash, op5_language, op6_toxicity,
-    op7_personal_data, op8_substrings, op9_top_k, op10_url_filters, op11_hard_negatives)}
+    op7_personal_data, op8_substrings, op9_top_k, op10_url_filters, op11_hard_negatives,
+    op12_conversations)}
 ORACLES = {"op3_token_counts": OP3_SQL, "op9_top_k": OP9_SQL, "op10_url_filters": OP10_SQL,
-           "op11_hard_negatives": OP11_SQL}
+           "op11_hard_negatives": OP11_SQL, "op12_conversations": OP12_SQL}
