@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderpulse.llm import (bpe, conversations, decontaminate, langid, negatives, pii, simhash,
-                            substrings, token_counts, topk, toxicity, urlfilter)
+                            substrings, token_counts, topk, toxicity, urlfilter, warc)
 from orderpulse.llm.common import held_out, saved, table
 from orderpulse.session import fresh_path
 
@@ -256,7 +256,8 @@ numbered AS (
   SELECT *, row_number() OVER (
       PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
     rtrim(text, E' 	
-') AS body, left(role, 1) AS ini FROM damaged),
+
+') AS body, left(role, 1) AS ini FROM damaged),
 faults AS (
   SELECT *, lag(ini) OVER (PARTITION BY conv_id ORDER BY n) AS prev,
     CASE WHEN body = '' THEN 1
@@ -302,9 +303,31 @@ SELECT c.conv_id, coalesce(hi - lo + 1 - turns, 0) AS gaps, coalesce(blank, 0) A
 FROM (SELECT DISTINCT conv_id FROM conversations) c
 LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id"""
 
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.Archive.write(table(spark, sf_dir, "pages"), fresh_path(spark, "warc"), least=0)
+    return archive.payloads().select("page_id", "payload_bytes", "payload_digest", "record_type",
+                                     "refers_to")
+
+
+#: Base 32 takes five bits for a letter, so five hex digits of the SHA-1 are four letters.
+OP13_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex,
+    max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
+d AS (
+  SELECT *, array_to_string([
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4)) & 31) + 1, 1)
+    FOR i IN range(32)], '') AS b32 FROM p)
+SELECT page_id, strlen(html) AS payload_bytes, b32 AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to FROM d"""
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_byte_bpe, op3_token_counts, op4_simhash, op5_language, op6_toxicity,
     op7_personal_data, op8_substrings, op9_top_k, op10_url_filters, op11_hard_negatives,
-    op12_conversations)}
+    op12_conversations, op13_warc)}
 ORACLES = {"op3_token_counts": OP3_SQL, "op9_top_k": OP9_SQL, "op10_url_filters": OP10_SQL,
-           "op11_hard_negatives": OP11_SQL, "op12_conversations": OP12_SQL}
+           "op11_hard_negatives": OP11_SQL, "op12_conversations": OP12_SQL,
+           "op13_warc": OP13_SQL}
