@@ -28,10 +28,12 @@ BASE = {
 #: What a text must hold for a base form to be looked for at all.
 NEEDED = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 #: Identifier-like strings: numbers with separators, and names with an at sign or a stand-in.
-NUMBER = r"(?<![A-Za-z0-9+(.])\+?\(?[0-9][0-9().\x20-]{5,40}[0-9](?![A-Za-z0-9])"
-HANDLE = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,64}(?:@|\x20?[\[(]at[\])]\x20?)[A-Za-z0-9.-]{3,64}"
-#: Rounds over the pattern-instance graph, seeds that a pattern needs, trust that adds a span.
-ROUNDS, SUPPORT, TRUST = 3, 5, 0.9
+NUMBER = r"(?<![A-Za-z0-9+(.])\+?\(?[0-9][0-9().\x20-]{5,}[0-9](?![A-Za-z0-9])"
+HANDLE = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,}+(?:@|\x20?[\[(]at[\])]\x20?)[A-Za-z0-9.-]{3,}+"
+#: White space around the word before an instance.
+SPACES = " \t\n\x0b\x0c\r"
+#: Seeds that a pattern needs, trust that adds a span, and rise of all trust that ends the rounds.
+SUPPORT, TRUST, SETTLED = 5, 0.9, 1e-3
 #: In the order that spans are sorted by.
 SPAN = "struct<start:int,kind:int,end:int>"
 FOUND = "struct<start:int,end:int,value:string,before:string>"
@@ -106,8 +108,7 @@ def base_spans(text: Column) -> Column:
 def _instances(text: Column) -> Column:
     """array of (start, end, value, word before) of the identifier-like strings of a text."""
     def made(start, end, match, gap):
-        near = F.lower(F.right(gap, F.lit(40)))
-        word = F.regexp_extract(near, r"([^\s]{1,40})\s*$", 1)
+        word = F.lower(F.element_at(F.split(F.rtrim(gap, F.lit(SPACES)), r"[ \t\n\x0b\f\r]"), -1))
         return F.struct(start.alias("start"), end.alias("end"),
                         F.lower(match).alias("value"), word.alias("before"))
 
@@ -128,7 +129,7 @@ def _fits(kind: Column, value: Column) -> Column:
             .otherwise(n.between(7, 15)))
 
 
-def scored_instances(edges: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT,
+def scored_instances(edges: DataFrame, support: int = SUPPORT,
                      bound: float = TRUST) -> DataFrame:
     """(value, kind, trust) of the instances of the graph that are no seeds.
 
@@ -137,7 +138,8 @@ def scored_instances(edges: DataFrame, rounds: int = ROUNDS, support: int = SUPP
     hold at least ``support`` seeds of a kind, instances whose trust has reached ``bound``
     included. The trust of a pattern is the mean trust of its instances, those of other kinds
     counting as zero. The trust of an instance is that of its best pattern, so contexts that
-    are no patterns take nothing from it.
+    are no patterns take nothing from it. Trust only rises, and the rounds end when no instance
+    has reached the bound and all trust together has risen by less than SETTLED.
     """
     contexts = edges.groupBy("before").agg(
         F.count("*").alias("all"),
@@ -149,7 +151,8 @@ def scored_instances(edges: DataFrame, rounds: int = ROUNDS, support: int = SUPP
     links = saved(edges.filter("seed is null").select("before", "value", kinds.alias("kind"))
                   .filter(_fits(F.col("kind"), F.col("value"))), "pii-links")
     trust = links.select("value", "kind").distinct().withColumn("trust", F.lit(0.0))
-    for _ in range(rounds):
+    known, total = -1, 0.0
+    while True:
         held = links.join(trust, ["value", "kind"]).groupBy("before", "kind").agg(
             F.sum("trust").alias("given"), F.count_if(F.col("trust") >= bound).alias("known"))
         patterns = held.join(seeds, ["before", "kind"]).filter(
@@ -158,7 +161,11 @@ def scored_instances(edges: DataFrame, rounds: int = ROUNDS, support: int = SUPP
         # Of what the context holds besides seeds, each instance gets the benefit of the seeds.
         trust = saved(links.join(patterns, ["before", "kind"]).groupBy("value", "kind").agg(
             F.max("p").alias("trust")), "pii-trust")
-    return trust
+        now = trust.agg(F.count_if(F.col("trust") >= bound).alias("known"),
+                        F.coalesce(F.sum("trust"), F.lit(0.0)).alias("total")).first()
+        if now.known == known and now.total - total < SETTLED:
+            return trust
+        known, total = now.known, now.total
 
 
 def find(docs: DataFrame, trust: float = TRUST) -> DataFrame:
@@ -192,6 +199,12 @@ def find(docs: DataFrame, trust: float = TRUST) -> DataFrame:
         F.array_sort(F.concat("base", "added"))).alias("spans"))
 
 
+def count_of(spans: Column, kind: str) -> Column:
+    """How many of the spans are of a kind."""
+    number = KINDS.index(kind)
+    return F.size(F.filter(spans, lambda span: span["kind"] == number)).cast("long")
+
+
 def kind_name(kind: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, KINDS)), kind + 1)
 
@@ -210,9 +223,9 @@ def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
     """
     spans = (found.filter(F.size("spans") > 0).select("doc_id", "text_hash", "spans")
              .dropDuplicates(["doc_id", "text_hash"]))
-    mark = docs.withColumn("_hash", F.xxhash64("text")).alias("d").join(
+    mark = docs.alias("d").join(
         spans.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id"))
-        & (F.col("d._hash") == F.col("s.text_hash")), "left")
+        & (F.xxhash64("d.text") == F.col("s.text_hash")), "left")
     text = F.col("d.text")
     state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 

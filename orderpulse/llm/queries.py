@@ -90,8 +90,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
-    of_kind = (F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long")
-               .alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS))
+    of_kind = (pii.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS)
     return found.select("doc_id", *of_kind,
                         F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
                         pii.written(F.col("spans")).alias("spans"))
