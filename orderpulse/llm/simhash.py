@@ -222,7 +222,10 @@ def first_of_each(docs: DataFrame, members: DataFrame) -> DataFrame:
     one doc_id stands with several texts, each is judged in its own component. Rows without
     doc_id can't be told apart and stay."""
     stay = members.filter("doc_id = component_id").groupBy("doc_id", "component").agg(
-        F.min("text_hash").alias("_hash"))
-    kept = docs.withColumn("_hash", F.xxhash64("text")).join(stay, ["doc_id", "_hash"], "left_semi")
-    return kept.dropDuplicates(["doc_id", "_hash"]).select(docs.columns).union(
-        docs.filter("doc_id is null"))
+        F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash")
+    # The row is one column, so that no name of the caller's can clash.
+    rows = docs.filter("doc_id is not null").select(
+        F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"))
+    kept = rows.join(stay, ["doc_id", "text_hash"], "left_semi").dropDuplicates(
+        ["doc_id", "text_hash"])
+    return kept.select("row.*").union(docs.filter("doc_id is null"))
