@@ -95,8 +95,16 @@ class Matcher:
                 start = end + 1 - length
                 best[start] = max(weight, best.get(start, 0.0))
         if spared:
-            best = {at: w for at, w in best.items()
-                    if not any(a <= at < b for a, b in spared)}
+            # Both in order of place: the exceptions that began so far reach up to one end.
+            spared.sort()
+            kept, nth, reach = {}, 0, -1
+            for at in sorted(best):
+                while nth < len(spared) and spared[nth][0] <= at:
+                    reach = max(reach, spared[nth][1])
+                    nth += 1
+                if at >= reach:
+                    kept[at] = best[at]
+            best = kept
         return list(best.items())
 
     def weights(self, text: str) -> tuple[float, float]:
