@@ -154,8 +154,8 @@ def _sql_number(text: str, below: int) -> str:
 OP10_SQL = rf"""
 WITH p AS (
   SELECT page_id, url, {START} + {_sql_number("coalesce(url, '')", YEAR)} AS fetched,
-    nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)), '') AS host,
-    nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)', 1), '') AS part
+    nullif(rtrim(lower(regexp_extract(url, '^[\x00-\x20]*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^/?#\]]*\]|[^/:?#]+)', 1)), '.'), '') AS host,
+    nullif(regexp_extract(url, '^[\x00-\x20]*[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)', 1), '') AS part
   FROM pages),
 k AS (
   SELECT *, host || '/' || part AS path,

@@ -13,11 +13,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Seconds of a time slot.
 SLOT = 30 * 24 * 3600
+#: What stands before the host: white space, the scheme, and a user's name and password.
+BEFORE = r"^[\x00-\x20]*[A-Za-z][A-Za-z0-9+.-]*://"
+USER = r"(?:[^/?#]*@)?"
 
 
 def host_of(url: Column) -> Column:
-    """Host in lower case; null if the URL has none."""
-    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)", 1))
+    """Host in lower case, without user, port and dots at its end; null if the URL has none."""
+    host = F.lower(F.regexp_extract(url, BEFORE + USER + r"(\[[^/?#\]]*\]|[^/:?#]+)", 1))
+    host = F.rtrim(host, F.lit("."))
     return F.when(host != "", host)
 
 
@@ -28,7 +32,7 @@ def domain_of(url: Column) -> Column:
 
 def path_of(url: Column) -> Column:
     """Host and first part of the path; null if there is none."""
-    part = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)", 1)
+    part = F.regexp_extract(url, BEFORE + r"[^/?#]+/([^/?#]+)", 1)
     return F.when(part != "", F.concat(host_of(url), F.lit("/"), part))
 
 
@@ -39,7 +43,7 @@ def keys_of(url: Column) -> Column:
     path that ends with a part of it (no slash at the end), the host, and its parents.
     """
     host, none = host_of(url), F.expr("cast(array() as array<string>)")
-    rest = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^#]*)", 1)
+    rest = F.regexp_extract(url, BEFORE + r"[^/?#]+(/[^#]*)", 1)
     parts = F.split(F.regexp_extract(rest, r"^/([^?]*)", 1), "/")
     labels = F.split(host, r"\.")
     # From the last part, of those that are not empty.
@@ -87,11 +91,13 @@ def judged(captures: DataFrame, entries: DataFrame) -> DataFrame:
     asked = (captures.select("url", "fetched").filter("url is not null and fetched is not null")
              .distinct().select("url", "fetched", F.floor(F.col("fetched") / SLOT).alias("slot"),
                                 F.posexplode(keys_of(F.col("url"))).alias("depth", "key")))
-    end = captures.agg(F.max("fetched").alias("end"))
-    slots = F.sequence(F.floor(F.col("since") / SLOT), F.floor(
+    span = captures.agg(F.min("fetched").alias("begin"), F.max("fetched").alias("end"))
+    # Slots are those of the captures, however far back a list goes or ahead it ends.
+    slots = F.sequence(F.floor(F.greatest("since", "begin") / SLOT), F.floor(
         F.least(F.coalesce(F.col("until") - 1, F.col("end")), F.col("end")) / SLOT))
-    # The newest capture is one row, so this join pairs nothing.
-    spread = (intervals(entries).join(F.broadcast(end), F.col("since") <= F.col("end"))
+    # The span of the captures is one row, so this join pairs nothing.
+    spread = (intervals(entries).join(F.broadcast(span), (F.col("since") <= F.col("end"))
+                                      & (F.col("until").isNull() | (F.col("until") > F.col("begin"))))
               .select("key", "since", "until", "n_lists", F.explode(slots).alias("slot")))
     hits = asked.join(spread, ["key", "slot"]).filter(
         "fetched >= since and (until is null or fetched < until)")
