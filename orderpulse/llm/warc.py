@@ -34,6 +34,8 @@ from orderpulse.llm.common import saved, slices
 FILE, RANGE = 64 << 20, 32 << 20
 #: Lines of an index block, and rows of the directory's sample at most (and one for each file).
 LINES, TOP = 2048, 65536
+#: Tasks that read archives at most, and captures that one task fetches one by one, about.
+READERS, FETCHES = 50_000, 4096
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RESPONSE, REVISIT = "response", "revisit"
@@ -314,10 +316,12 @@ class Archive:
 
     def records(self) -> DataFrame:
         """RECORD rows of all records, read from the archives range by range."""
-        ranges = self.captures.groupBy("file", F.floor(F.col("offset") / RANGE).alias("nth")).agg(
-            F.min("offset").alias("offset"), F.sum("length").alias("length"))
-        return ranges.select("file", "offset", "length").mapInArrow(
-            _reader(f"{self.root}/archive"), RECORD)
+        ranges = saved(self.captures.groupBy("file", F.floor(F.col("offset") / RANGE).alias("nth"))
+                       .agg(F.min("offset").alias("offset"), F.sum("length").alias("length")),
+                       "ranges").select("file", "offset", "length")
+        # The rows are few and short, so Spark would give them all to one task.
+        tasks = max(1, min(ranges.count(), READERS))
+        return ranges.repartition(tasks).mapInArrow(_reader(f"{self.root}/archive"), RECORD)
 
     def lookup(self, asked: DataFrame) -> DataFrame:
         """The captures (CAPTURE) of distinct (key, page_id); those that aren't there give no
@@ -347,8 +351,9 @@ class Archive:
 
     def fetch(self, captures: DataFrame) -> DataFrame:
         """RECORD rows of single captures, by range reads of the archives."""
-        return captures.select("file", "offset", "length").mapInArrow(
-            _reader(f"{self.root}/archive"), RECORD)
+        wanted = saved(captures.select("file", "offset", "length"), "fetch")
+        tasks = max(1, min(-(-wanted.count() // FETCHES), READERS))
+        return wanted.repartition(tasks).mapInArrow(_reader(f"{self.root}/archive"), RECORD)
 
     def payloads(self) -> DataFrame:
         """RECORD rows of all records; revisits have the size and the digest of the payload that
