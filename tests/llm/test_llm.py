@@ -1,7 +1,9 @@
 """Operators for training data against brute force, on small tables with odd rows."""
 
+import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -196,6 +198,17 @@ def test_exceptions_spare_an_entry():
     assert matcher.score("a blargberry cake") > 0.5
 
 
+def test_exceptions_are_swept_once():
+    """Hits and exceptions of a long text take time in proportion to it."""
+    model = toxicity.Model({" bad": 1.0}, [" bad luck "], (0.0, 1.0, 1.0))
+    matcher = toxicity.Matcher(model)
+    text = " " + "bad luck badly " * 40_000
+    began = time.perf_counter()
+    hits = matcher.hits(text)
+    assert len(hits) == 40_000 and time.perf_counter() - began < 5
+    assert {text[at:at + 6] for at, _ in hits} == {" badly"}  # not " bad luck "
+
+
 def test_toxicity_of_odd_rows(spark, docs):
     labels = spark.createDataFrame([(4, None), (None, 1), (8, 0), (8, 0), (77, 1)],
                                    "doc_id long, toxic int")
@@ -302,6 +315,51 @@ def test_base_spans(spark):
     assert got == {i: brute_spans(t) for i, t in enumerate(texts)}
 
 
+def test_query_as_plain_loops(spark, tmp_path):
+    """Every column of the registered query; contexts add nothing here, so all spans are base."""
+    rng = random.Random(6)
+    texts = [None, "", "a@b.cd and c@d.ef", "10.0.0.1", "x@y.zw 10.0.0.1 +49 30 1234567",
+             "4111 1111 1111 1111, +1 212 555 0100, 1.2.3.4, 5.6.7.8"]
+    texts += ["".join(rng.choice("0123456789+-() .@abé") for _ in range(300)) for _ in range(200)]
+    rows = [(None if i == 7 else i, t) for i, t in enumerate(texts)] + [(2, texts[2])]
+    spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, n_email int"
+                          ).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op7_personal_data"](spark, str(tmp_path))
+    assert got.columns == ["doc_id", *(f"n_{k}" for k in pii.KINDS), "base_sha256", "spans"]
+    want = []
+    for doc_id, text in rows:
+        spans = brute_spans(text)
+        names = [s.split(":")[0] for s in spans.split(",")]
+        want.append((doc_id, *(names.count(k) for k in pii.KINDS),
+                     hashlib.sha256(spans.encode()).hexdigest(), spans))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    small = {r.doc_id: tuple(r)[1:5] for r in QUERIES["op7_personal_data"](spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    assert small == {d.doc_id: tuple(brute_spans(d.text).count(f"{k}:") for k in pii.KINDS)
+                     for d in docs}
+
+
+def test_long_contexts_and_names(spark):
+    """Neither the word before, nor the gap to it, nor an instance has a length limit."""
+    word, name = "w" * 60, "n" * 80
+    rows = spark.createDataFrame([(1, f"{word}{' ' * 45}4111111111111112 end"),
+                                  (2, f"to {name}[at]example.com")], "doc_id long, text string")
+    found = {r.doc_id: r.found for r in rows.select(
+        "doc_id", pii._instances(F.col("text")).alias("found")).collect()}
+    assert found[1][0].before == word and found[2][0].value == f"{name}[at]example.com"
+
+
+def test_rounds_go_on_until_nothing_changes(spark):
+    """A chain of contexts, each of which is known only through instances of the one before."""
+    edges = [("c0", f"seed{i}", 0) for i in range(60)]
+    for step in range(8):
+        # Five instances in a context and in the next, which so becomes a pattern.
+        edges += [(f"c{c}", f"x{step}-{i}@", None) for i in range(5) for c in (step, step + 1)]
+    frame = spark.createDataFrame(edges, "before string, value string, seed int")
+    found = pii.scored_instances(frame, bound=0.4).filter("trust >= 0.4").select("value").distinct()
+    assert found.count() == 40
+
+
 def test_contexts_find_unseen_identifiers(spark):
     good = ["4111111111111111", "5500005555555559", "4012888888881881", "340000000000009",
             "6011000990139424", "30569309025904", "4222222222222"]
@@ -341,6 +399,16 @@ def test_redaction(docs):
     assert pii.redact(docs.limit(0), pii.find(docs.limit(0))).count() == 0
 
 
+def test_stages_leave_clashing_columns_alone(spark):
+    names = ["doc_id", "text", "_hash", "text_hash", "row", "spans", "component", "start", "s", "d"]
+    docs = spark.createDataFrame([(i, "me@a.bc " * 5, *"abcdefgh") for i in range(3)],
+                                 ", ".join(f"{n} {'long' if n == 'doc_id' else 'string'}" for n in names))
+    kept = simhash.first_of_each(docs, simhash.near_duplicates(docs))
+    clean = pii.redact(kept, pii.find(kept))
+    assert clean.columns == names
+    assert [tuple(r) for r in clean.collect()] == [(0, "<EMAIL> " * 5, *"abcdefgh")]
+
+
 # Repeated passages
 
 def test_borders_resist_insertions():
@@ -535,6 +603,19 @@ def test_parents_and_deeper_paths_are_blocked(spark):
     assert got == cases
 
 
+def test_hosts_in_disguise_and_far_dates(spark):
+    urls = ["http://user@evil.com/", "http://user:pw@evil.com/x", "http://evil.com./", " http://evil.com/",
+            "http://a@b@EVIL.com:80?q", "HTTP://evil.com.#x"]
+    fine = ["http://evil.com@ok.org/", "http://ok.org/@evil.com", "http://[::1]:80/evil.com", "http://...//"]
+    captures = spark.createDataFrame([(n, u, 10 ** 9) for n, u in enumerate(urls + fine)],
+                                     "page_id long, url string, fetched long")
+    entries = spark.createDataFrame([("l", "evil.com", "add", -10 ** 16), ("m", "evil.com", "add", 10 ** 16),
+                                     ("n", "ok.org", "add", -10 ** 16), ("n", "ok.org", "remove", 5)],
+                                    "list string, key string, action string, at long")
+    got = {r.page_id: (r.blocked, r.n_lists) for r in urlfilter.judged(captures, entries).collect()}
+    assert got == {n: (n < len(urls), int(n < len(urls))) for n in range(len(urls + fine))}
+
+
 # Odd rows and the whole pipeline
 
 def test_odd_rows_everywhere(docs):
