@@ -82,5 +82,6 @@ def write_processed_objects(spark, d):
     path = fresh_path(spark, "processed")
     src.write_processed_files(op.process_files(fx.text_files(spark, d)), path, objects=True,
                               tasks=spark.sparkContext.defaultParallelism)
-    read = spark.read.text(path, wholetext=True)
-    return read.select("processed_path", F.col("value").alias("processed_content"))
+    # Each object is found at its own key.
+    return src.read_text_files(spark, path, "processed/").select(
+        F.col("path").alias("processed_path"), F.col("content").alias("processed_content"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderpulse.sources.objects import put_objects
+
 
 def read_text_files(spark: SparkSession, root: str, prefix: str = "uploads/",
                     stream: bool = False, max_files: int | None = None) -> DataFrame:
@@ -28,21 +30,14 @@ def read_text_files(spark: SparkSession, root: str, prefix: str = "uploads/",
 
 def write_processed_files(processed: DataFrame, path: str, objects: bool = False,
                           tasks: int | None = None) -> None:
-    """Append processed files as table rows, or as one text object per key.
+    """Append processed files as table rows, or put each as one object at its own key.
 
-    The table form packs many small files into few large ones. The object form
-    writes one folder per key below ``path``; the line end that closes an envelope
-    is written by the text writer, which ends every object with one. ``tasks``
-    spreads the objects over that many tasks; it pays off when the input has few
-    partitions, as the cost is per object.
+    The table form packs many small files into few large ones. The object form puts
+    ``processed/<name>`` below ``path`` (see ``objects``); ``tasks`` spreads the objects
+    over that many tasks.
     """
     if not objects:
         processed.write.mode("append").parquet(path)
         return
-    content = F.col("processed_content")
-    body = F.when(content.endswith("\n"),
-                  F.substring(content, F.lit(1), F.length(content) - 1)).otherwise(content)
-    rows = processed.select("processed_path", body.alias("value"))
-    if tasks:
-        rows = rows.repartition(tasks, "processed_path")
-    (rows.write.mode("append").partitionBy("processed_path").text(path))
+    put_objects(processed.select(F.col("processed_path").alias("key"),
+                                 F.col("processed_content").alias("content")), path, tasks)
