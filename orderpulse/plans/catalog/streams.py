@@ -16,6 +16,7 @@ from orderpulse.plans.catalog.sources import land, offsets
 from orderpulse.session import fresh_path
 from orderpulse.sources import fixtures as fx
 from orderpulse.sources import results, topics
+from orderpulse.sources.snapshots import Snapshots
 from orderpulse.streaming import queries as op
 from orderpulse.streaming import sinks
 
@@ -58,6 +59,7 @@ def stream_order_events_json(spark, d):
 
 
 HALF = "2024-01-16 00:00:00"
+THIRDS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 
 
 @query("stream_late_rows_and_restart", with_(EV, f"""late AS (
@@ -130,6 +132,29 @@ def stream_upsert_window_items(spark, d):
     return sinks.newest_by_key(sinks.read_batches(spark, path), "window_id").drop("user_id")
 
 
+@query("stream_upsert_snapshots", with_(EV, ITEMS) + """
+SELECT * EXCLUDE (user_id) FROM items
+WHERE CAST("timestamp" AS TIMESTAMP) + INTERVAL 5 SECOND <= (SELECT max(ts) FROM events)""")
+def stream_upsert_snapshots(spark, d):
+    # Three batches of one query; the table is folded after the first and the second, so
+    # the last read meets base files and an open delta.
+    events = fx.order_events(spark, d)
+    landed, checkpoint = fresh_path(spark, "events"), fresh_path(spark, "checkpoint")
+    schema = wi.analytics_items(wi.window_totals(events)).schema
+    table = Snapshots(spark, fresh_path(spark, "items"), schema, "window_id")
+    cuts = [F.lit(cut).cast("timestamp") for cut in THIRDS]
+    time = F.col("timestamp")
+    for n, part in enumerate((time < cuts[0], (time >= cuts[0]) & (time < cuts[1]),
+                              time >= cuts[1])):
+        events.filter(part).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(events.schema).parquet(landed)
+        items = wi.analytics_items(op.stream_window_totals(stream))
+        sinks.upsert_snapshots(items, table, checkpoint=checkpoint).awaitTermination()
+        if n < 2:
+            table.fold()
+    return table.read().drop("user_id")
+
+
 @query("stream_windows_counter", with_(EV) + f"""
 SELECT count(*) AS windows FROM ({window_sql(1)}) WHERE {CLOSED}""")
 def stream_windows_counter(spark, d):

@@ -19,6 +19,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from orderpulse.operators.running import published
 from orderpulse.session import fresh_path
+from orderpulse.sources.snapshots import Snapshots
 from orderpulse.sources.topics import RESULTS_TOPIC, messages, write_topic
 
 PUBLISH_EVERY = "1 minute"  # fixed value: one publish a minute
@@ -133,6 +134,18 @@ def upsert_window_items(items: DataFrame, path: str, *, mode: str = "append",
     return each_batch(items, path, mode, checkpoint=checkpoint, every=every)
 
 
+def upsert_snapshots(items: DataFrame, table: Snapshots, *, name: str = "items",
+                     mode: str = "append", checkpoint: str | None = None,
+                     every: str | None = None) -> StreamingQuery:
+    """Put items by key into a table that is folded and read while the query runs.
+
+    ``name`` is that of the query for ever: the table remembers the last batch it put
+    under it, so a batch that is repeated after a restart is not put again.
+    """
+    return run_batches(items, lambda batch, batch_id: table.put(batch, name, batch_id), mode,
+                       checkpoint=checkpoint, every=every)
+
+
 def compact(spark: SparkSession, path: str, into: str, key: str) -> None:
     """Write the newest row per key as the first batch of a new table."""
     newest_by_key(read_batches(spark, path), key).write.mode("overwrite").parquet(
