@@ -18,7 +18,7 @@ from orderpulse.sources import fixtures as fx
 from orderpulse.sources import results, topics
 from orderpulse.sources.snapshots import Snapshots
 from orderpulse.streaming import queries as op
-from orderpulse.streaming import sinks
+from orderpulse.streaming import sinks, timers
 
 CLOSED = "window_end + INTERVAL 5 SECOND <= (SELECT max(ts) FROM events)"
 
@@ -97,6 +97,26 @@ def stream_user_window_counts_1m(spark, d):
                                                          delay="0 seconds"))
 
 
+@query("stream_timed_window_counts", with_(EV) + """
+SELECT user_id, count(*) AS order_count, true AS each_window_once FROM ev GROUP BY user_id""")
+def stream_timed_window_counts(spark, d):
+    # Three files, a batch each; the last windows close by their timers, as no row follows.
+    events = fx.order_events(spark, d)
+    landed, path = fresh_path(spark, "events"), fresh_path(spark, "timed")
+    for k in range(3):
+        events.filter(F.col("arrival") % 3 == k).coalesce(1).write.mode("append").parquet(landed)
+    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+              .parquet(landed))
+    query_ = timers.append_timed_counts(stream, path, seconds=2)
+    timers.run_until(spark, query_, path, events.count())
+    windows = timers.read_timed_counts(spark, path)
+    length = F.unix_seconds("window_end") - F.unix_seconds("window_start")
+    return windows.groupBy("user_id").agg(
+        F.sum("order_count").alias("order_count"),
+        ((F.count(F.lit(1)) == F.countDistinct("window_start")) & (F.max(length) == 2)
+         & (F.min(length) == 2)).alias("each_window_once"))
+
+
 @query("stream_user_running_stats", with_(EV) + f"""
 SELECT {STATS_COLUMNS}, {iso('arg_min(ts, arrival)')} AS first_order,
        {iso('arg_max(ts, arrival)')} AS last_order,
