@@ -76,6 +76,26 @@ def start_position(spark, d):
     return count(every, "earliest").unionByName(count(later, "after"))
 
 
+@query("landed_appends", """
+SELECT count(*) AS messages, count(*) AS positions, count(*) AS arrivals, true AS in_order
+FROM events""")
+def landed_appends(spark, d):
+    # Three appends: no message has the position of another, and later ones arrive later.
+    path = fresh_path(spark, "topics")
+    events = fx.table(spark, d, "events")
+    for k in range(3):
+        topics.write_topic(events.filter(F.col("event_id") % 3 == k).select(
+            F.col("event_id").cast("string").alias("value")), topics.ORDERS_TOPIC, path=path)
+    read = topics.read_topic(spark, path=path, positions=True, start="earliest")
+    part = F.col("value").cast("bigint") % 3
+    first, last = ([f(F.when(part == k, F.col("arrival"))) for k in range(3)]
+                   for f in (F.min, F.max))
+    return read.agg(F.count(F.lit(1)).alias("messages"),
+                    F.countDistinct("position").alias("positions"),
+                    F.countDistinct("arrival").alias("arrivals"),
+                    ((last[0] < first[1]) & (last[1] < first[2])).alias("in_order"))
+
+
 @query("read_results_bounded", with_(EV, RESULTS) + """
 SELECT * FROM results""")
 def read_results_bounded(spark, d):

@@ -12,17 +12,17 @@ stream. Files are only added: a reader of an older manifest keeps what it reads
 
 from __future__ import annotations
 
-import json
 import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from orderpulse.sources.numbered import NumberedFiles
+
 BUCKETS = 64
 #: Columns that the table adds to stored rows: the bucket of base rows, the delta's number.
 BUCKET, NUMBER = "_bucket", "_number"
@@ -40,56 +40,6 @@ class Manifest:
     batches: dict[str, int] = field(default_factory=dict)
 
 
-class _Folder:
-    """Numbered files in a folder of any store Spark can reach, each written once."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        jvm = spark._jvm
-        conf = spark._jsc.hadoopConfiguration()
-        self.path, self.name = path, jvm.org.apache.hadoop.fs.Path
-        self.context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            self.name(path).toUri() if "://" in path else self.name("file://" + path).toUri(), conf)
-        self.fs = self.name(path).getFileSystem(conf)
-        self.flags = jvm.java.util.EnumSet.of(jvm.org.apache.hadoop.fs.CreateFlag.CREATE)
-        self.options = spark.sparkContext._gateway.new_array(
-            jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        self.stream = jvm.org.apache.commons.io.IOUtils
-        self.charset = jvm.java.nio.charset.StandardCharsets.UTF_8
-
-    def numbers(self) -> list[int]:
-        place = self.name(self.path)
-        if not self.fs.exists(place):
-            return []
-        names = (status.getPath().getName() for status in self.fs.listStatus(place))
-        return sorted(int(n.removesuffix(".json")) for n in names if n[0].isdigit())
-
-    def read(self, number: int) -> dict:
-        file = self.fs.open(self.name(f"{self.path}/{number:012d}.json"))
-        try:
-            return json.loads(self.stream.toString(file, self.charset))
-        finally:
-            file.close()
-
-    def write(self, number: int, content: dict) -> bool:
-        """False if the number is taken. The file appears whole, under its name."""
-        self.fs.mkdirs(self.name(self.path))
-        staged = self.name(f"{self.path}/_{uuid.uuid4().hex}")
-        file = self.fs.create(staged, False)
-        file.write(bytearray(json.dumps(content).encode()))
-        file.close()
-        try:
-            self.context.rename(staged, self.name(f"{self.path}/{number:012d}.json"), self.options)
-        except Py4JJavaError as error:
-            self.fs.delete(staged, False)
-            if "FileAlreadyExists" not in str(error.java_exception.getClass().getName()):
-                raise
-            return False
-        return True
-
-    def delete(self, path: str) -> None:
-        self.fs.delete(self.name(path), True)
-
-
 def _newest(rows: DataFrame, key: str) -> DataFrame:
     """Per key the row with the greatest number. One row per key is kept in each task before
     the shuffle, so a key that is put very often does not reach one task whole."""
@@ -104,7 +54,7 @@ class Snapshots:
     def __init__(self, spark: SparkSession, path: str, schema: StructType, key: str,
                  buckets: int = BUCKETS):
         self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), schema, key
-        self.buckets, self.log = buckets, _Folder(spark, f"{self.path}/manifests")
+        self.buckets, self.log = buckets, NumberedFiles(spark, f"{self.path}/manifests")
 
     def manifest(self, version: int | None = None) -> Manifest:
         """The newest state, or that of a version."""

@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 from orderpulse.functions.jsontext import to_json_result
 from orderpulse.operators import events as ev
 from orderpulse.schemas import TOPIC
+from orderpulse.sources.numbered import NumberedFiles
 
 ORDERS_TOPIC = "orders-events"
 RESULTS_TOPIC = "analytics-results"
+#: Partitions that a position has room for; rows of a task, as bits, and writes of a landed topic.
+PARTITIONS, ROW_BITS, WRITES = 4096, 33, 1 << 18
 #: Above all offsets: what lies below this in an arrival is the offset.
 OFFSETS = Decimal(10 ** 19)
 
@@ -46,7 +49,7 @@ def arrival(timestamp: Column, partition: Column, offset: Column) -> Column:
 
 def position(partition: Column, offset: Column) -> Column:
     """A long that no other message of the topic has; one that does not fit is an error."""
-    fits = partition.between(0, 4095) & offset.between(0, (1 << 51) - 1)
+    fits = partition.between(0, PARTITIONS - 1) & offset.between(0, (1 << 51) - 1)
     return F.when(fits, F.shiftleft(offset, 12) + partition).when(
         ~fits, F.raise_error(F.lit("partition or offset too large for a position"))
         .cast("bigint"))
@@ -96,29 +99,42 @@ def read_topic(spark: SparkSession, topic: str = ORDERS_TOPIC, *, servers: str |
         "timestamp", *(number if positions else ()))
 
 
-def messages(rows: DataFrame, offset: Column | None = None) -> DataFrame:
+def messages(rows: DataFrame, offset: Column | None = None, write: int = 0) -> DataFrame:
     """Rows as topic messages; a row keeps its ``value`` or becomes JSON text.
 
-    Without a column for it, ``offset`` numbers the rows of this write, unique but with
-    gaps; rows of a later write come later by their time.
+    Without a column for it, the tasks of a write are the partitions and the offset is made of
+    the number of the write and that of the row in its task, so that no message of another
+    write has the same; ``write_topic`` gives each write a number.
     """
     value = F.col("value") if rows.columns == ["value"] else to_json_result(*rows.columns)
-    number = offset if offset is not None else F.monotonically_increasing_id()
+    if offset is None:
+        row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+        return rows.select(
+            value.alias("value"), F.spark_partition_id().alias("partition"),
+            (row + F.lit(write << ROW_BITS).cast("bigint")).alias("offset"),
+            F.current_timestamp().alias("timestamp"))
     return rows.select(value.alias("value"), F.lit(0).alias("partition"),
-                       number.cast("bigint").alias("offset"),
+                       offset.cast("bigint").alias("offset"),
                        F.current_timestamp().alias("timestamp"))
 
 
 def write_topic(rows: DataFrame, topic: str = RESULTS_TOPIC, *, servers: str | None = None,
                 path: str | None = None, mode: str = "append", **options: str) -> None:
-    """Append a batch of messages to a topic."""
+    """Append a batch of messages to a topic.
+
+    In a landed topic each write takes the next free number, kept below ``_writes`` where
+    readers of the topic don't look, so positions never repeat over appends.
+    """
     if (servers is None) == (path is None):
         raise ValueError("give either servers or path")
     if servers:
         (messages(rows).select("value").write.format("kafka")
          .options(**kafka_options(servers, **options)).option("topic", topic).save())
-    else:
-        messages(rows).write.mode(mode).parquet(f"{path}/{topic}")
+        return
+    number = NumberedFiles(rows.sparkSession, f"{path}/{topic}/_writes").take({})
+    if number >= WRITES:
+        raise ValueError(f"a landed topic takes {WRITES} writes; fold {path}/{topic} into one")
+    messages(rows.coalesce(PARTITIONS), write=number).write.mode(mode).parquet(f"{path}/{topic}")
 
 
 def read_order_events(spark: SparkSession, topic: str = ORDERS_TOPIC, **where) -> DataFrame:

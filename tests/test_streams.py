@@ -1,6 +1,7 @@
 """Streams fed file by file: equal to batch, late rows, restart, sinks."""
 
 import random
+import threading
 import time
 from datetime import datetime, timedelta
 from decimal import Decimal as D
@@ -245,6 +246,23 @@ def test_positions_do_not_clash(spark, place):
         df.select(topics.position(F.col("p"), F.col("o"))).collect()
 
 
+def test_positions_do_not_clash_over_appends(spark, tmp_path):
+    def append(n, tasks):
+        topics.write_topic(spark.range(n).repartition(tasks).select(
+            F.col("id").cast("string").alias("value")), "t", path=str(tmp_path))
+
+    threads = [threading.Thread(target=append, args=(40, 3)) for _ in range(3)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    append(1, 1)
+    read = topics.read_topic(spark, "t", path=str(tmp_path), start="earliest", positions=True)
+    assert read.count() == read.select("position").distinct().count() == 121
+    newest = read.orderBy(F.desc("arrival")).first()
+    assert newest.value == "0" and read.filter(F.col("timestamp") == newest.timestamp).count() == 1
+
+
 def test_counts_go_on_after_old_progress_is_gone(spark, feed, tmp_path):
     held = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
