@@ -47,6 +47,11 @@ def user_running_stats(events: DataFrame, on_bad_value: str = "drop") -> DataFra
         F.count(F.lit(1)).alias("total_orders"),
         F.coalesce(F.sum(_revenue()), F.lit(0)).cast(_SUM).alias("revenue"),
         *_first_last("timestamp", "arrival"))
+    return finished(totals)
+
+
+def finished(totals: DataFrame) -> DataFrame:
+    """The statistics from (user_id, total_orders, revenue, first_order, last_order)."""
     revenue = F.col("revenue")
     return totals.select(
         "user_id", "total_orders",

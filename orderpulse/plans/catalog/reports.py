@@ -1,6 +1,7 @@
 """Reports on products, regions and hours."""
 
 from orderpulse.operators import orders as op
+from orderpulse.operators import search
 from orderpulse.plans.catalog.common import EV, ORD, money, query, with_
 from orderpulse.session import fresh_path
 from orderpulse.sources import fixtures as fx
@@ -77,6 +78,20 @@ def product_search(spark, d):
     return op.product_search(fx.products(spark, d), "Widget")
 
 
+@query("product_search_by_index", PRODUCT + " WHERE lower(p_name) LIKE '%widget%'")
+def product_search_by_index(spark, d):
+    path, products = fresh_path(spark, "names"), fx.products(spark, d)
+    search.build_index(products, path)
+    return search.search(products, path, "Widget")
+
+
+@query("product_search_short", PRODUCT + " WHERE lower(p_name) LIKE '%ge%'")
+def product_search_short(spark, d):
+    path, products = fresh_path(spark, "names"), fx.products(spark, d)
+    search.build_index(products, path)
+    return search.search(products, path, "GE")
+
+
 @query("order_status_counts", with_(ORD) + """
 SELECT status, count(*) AS orders FROM ord GROUP BY status""")
 def order_status_counts(spark, d):

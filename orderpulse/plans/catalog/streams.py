@@ -18,7 +18,7 @@ from orderpulse.sources import fixtures as fx
 from orderpulse.sources import results, topics
 from orderpulse.sources.snapshots import Snapshots
 from orderpulse.streaming import queries as op
-from orderpulse.streaming import sinks, timers
+from orderpulse.streaming import sinks, state, timers
 
 CLOSED = "window_end + INTERVAL 5 SECOND <= (SELECT max(ts) FROM events)"
 
@@ -129,6 +129,21 @@ def stream_user_running_stats(spark, d):
     return sinks.newest_by_key(sinks.read_batches(spark, path), "user_id")
 
 
+@query("running_totals_from_state", with_(EV) + f"""
+SELECT {STATS_COLUMNS}, arg_min(ts, arrival) AS first_order, arg_max(ts, arrival) AS last_order
+FROM ev GROUP BY user_id""")
+def running_totals_from_state(spark, d):
+    # Three batches; nothing that was published is read.
+    events = fx.order_events(spark, d)
+    landed, checkpoint = fresh_path(spark, "events"), fresh_path(spark, "checkpoint")
+    for k in range(3):
+        events.filter(F.col("arrival") % 3 == k).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(events.schema).parquet(landed)
+        sinks.publish_user_stats(op.stream_user_running_stats(stream), fresh_path(spark, "published"),
+                                 checkpoint=checkpoint, every=None).awaitTermination()
+    return state.running_totals(spark, checkpoint)
+
+
 @query("stream_user_running_stats_complete", with_(EV) + f"""
 SELECT {STATS_COLUMNS}, {iso('arg_min(ts, arrival)')} AS first_order,
        {iso('arg_max(ts, arrival)')} AS last_order,
