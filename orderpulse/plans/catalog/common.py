@@ -131,7 +131,8 @@ RESULTS = f"""results AS (
          strftime(cut, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS window_end,
          CAST(epoch(cut) AS BIGINT) * 1000000 + CAST(user_id AS BIGINT) AS arrival
   FROM ev JOIN (VALUES (TIMESTAMP '2024-01-10 00:00:00'), (TIMESTAMP '2024-01-20 00:00:00'),
-                       (TIMESTAMP '2024-02-01 00:00:00')) AS p(cut) ON ts < cut
+                       ((SELECT date_trunc('month', max(ts)) + INTERVAL 1 MONTH FROM events))
+                      ) AS p(cut) ON ts < cut
   GROUP BY cut, user_id)"""
 
 FILES = """files AS (

@@ -123,7 +123,7 @@ def read_results_from_latest(spark, d):
 
 
 @query("top_users_from_topic", with_(EV, RESULTS) + """
-SELECT * EXCLUDE (arrival) FROM results WHERE window_end >= '2024-02-01'
+SELECT * EXCLUDE (arrival) FROM results WHERE window_end = (SELECT max(window_end) FROM results)
 ORDER BY total_spent DESC, user_id LIMIT 10""")
 def top_users_from_topic(spark, d):
     path = land(spark, fx.mixed_result_messages(spark, d), topics.RESULTS_TOPIC)

@@ -15,8 +15,8 @@ from orderpulse.operators.windows import analytics_items as items_of
 from orderpulse.operators.windows import window_totals
 from orderpulse.schemas import PRICE
 
-# Instants at which the results fixture publishes.
-PUBLISHES = ("2024-01-10 00:00:00", "2024-01-20 00:00:00", "2024-02-01 00:00:00")
+# Instants at which the results fixture publishes; the last is the month's end after all events.
+PUBLISHES = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -186,13 +186,16 @@ def analytics_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Running statistics as published at each of the fixed instants.
+    """Running statistics as published at each of the instants.
 
     An event counts for every later publish; one aggregate gives all of them. A
     row's arrival is its publish and then its user.
     """
-    cuts = F.array(*[F.lit(p).cast("timestamp") for p in PUBLISHES])
-    events = order_events(spark, sf_dir).withColumn("cut", F.explode(
+    events = order_events(spark, sf_dir)
+    last = events.agg(F.max("timestamp").alias("ts")).select(
+        F.add_months(F.trunc("ts", "month"), 1).cast("timestamp")).first()[0]
+    cuts = F.array(*[F.lit(p).cast("timestamp") for p in PUBLISHES], F.lit(last).cast("timestamp"))
+    events = events.withColumn("cut", F.explode(
         F.filter(cuts, lambda cut: F.col("timestamp") < cut)))
     keyed = events.withColumn("user_id", F.struct("cut", "user_id"))
     stats = user_running_stats(keyed).select(
