@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderpulse.operators import events as ev
-from orderpulse.operators import insight, serving
+from orderpulse.operators import insight, serving, windows
 from orderpulse.operators.files import process_files
 from orderpulse.operators.running import published
 from orderpulse.session import build_session
+from orderpulse.schemas import ANALYTICS_ITEMS
 from orderpulse.sources import files, results, tables, topics
-from orderpulse.streaming import queries, sinks
+from orderpulse.sources.snapshots import Snapshots
+from orderpulse.streaming import queries, sinks, state
 
 
 POSTS_TOPIC = "order-posts"
@@ -90,11 +92,65 @@ def rejects_job(spark: SparkSession, source: dict, out: str, *, checkpoint: str,
 
 
 def file_job(spark: SparkSession, root: str, out: str, *, checkpoint: str,
-             every: str | None = "10 seconds") -> StreamingQuery:
-    """New objects below ``uploads/`` to processed rows."""
+             objects: bool = False, every: str | None = "10 seconds") -> StreamingQuery:
+    """New objects below ``uploads/`` to processed rows, or to objects at their own keys."""
     found = files.read_text_files(spark, root, stream=True)
-    return sinks.append_files(process_files(found, root.rstrip("/") + "/"), out,
-                              checkpoint=checkpoint, every=every)
+    processed = process_files(found, root.rstrip("/") + "/")
+    if not objects:
+        return sinks.append_files(processed, out, checkpoint=checkpoint, every=every)
+    return sinks.run_batches(
+        processed, lambda batch, _: files.write_processed_files(batch, out, objects=True),
+        "append", checkpoint=checkpoint, every=every)
+
+
+def analytics_table(spark: SparkSession, path: str) -> Snapshots:
+    """The table of window items, by ``window_id``."""
+    return Snapshots(spark, path, ANALYTICS_ITEMS, "window_id")
+
+
+def analytics_job(spark: SparkSession, source: dict, out: str, *, checkpoint: str,
+                  size: str = "1 minute", fold_after: int = 32,
+                  every: str | None = "10 seconds") -> StreamingQuery:
+    """Order events to the analytics table, an item for each window.
+
+    The open deltas are folded into the base once there are ``fold_after`` of them, so a
+    read never meets more.
+    """
+    table = analytics_table(spark, out)
+    events = topics.read_order_events(spark, stream=True, **source)
+    items = windows.analytics_items(queries.stream_window_totals(events, size))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.put(batch, "analytics", batch_id)
+        if len(table.manifest().deltas) >= fold_after:
+            table.fold()
+
+    return sinks.run_batches(items, write, "append", checkpoint=checkpoint, every=every)
+
+
+#: What can be asked of the analytics table, and the totals behind a checkpoint.
+READS = ("summary", "recent", "window", "user", "vips")
+
+
+def read_job(spark: SparkSession, what: str, *, path: str | None = None,
+             checkpoint: str | None = None, key: str | None = None,
+             limit: int = 10) -> DataFrame:
+    """An answer of the serving side: ``summary``, ``recent`` windows or one ``window`` of the
+    analytics table at ``path``; one ``user`` or the ``vips`` from the state of the running
+    totals whose query keeps its ``checkpoint``."""
+    if what in ("summary", "recent", "window"):
+        table = analytics_table(spark, path)
+        if what == "window":
+            return table.lookup(key)
+        items = table.read()
+        return serving.analytics_summary(items) if what == "summary" else serving.recent_windows(
+            items, limit)
+    totals = state.running_totals(spark, checkpoint)
+    if what == "user":
+        return serving.lookup_by_key(totals, "user_id", key)
+    if what == "vips":
+        return serving.vip_leaderboard(totals, limit)
+    raise ValueError(f"what is one of {', '.join(READS)}")
 
 
 def insight_job(spark: SparkSession, users: str, orders: str, out: str) -> None:
@@ -142,7 +198,8 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description=__doc__)
     jobs = parser.add_subparsers(dest="job", required=True)
     streams = {name: (topics.ORDERS_TOPIC, "source and results topic") for name in (
-        "event-time", "processing-time", "running-totals", "notifications", "rejects")}
+        "event-time", "processing-time", "running-totals", "notifications", "rejects",
+        "analytics-table")}
     streams["order-writer"] = POSTS_TOPIC, "posts and events topic"
     for name, (topic, what) in streams.items():
         job = jobs.add_parser(name)
@@ -153,12 +210,14 @@ def _parser() -> argparse.ArgumentParser:
                          help="messages of a broker, or files, in a batch")
         job.add_argument("--every", help="time between batches, such as '10 seconds'")
         job.add_argument("--checkpoint", required=True)
-        if name in ("notifications", "rejects"):
+        if name in ("notifications", "rejects", "analytics-table"):
             job.add_argument("--out", required=True, help="folder of the table to write")
-        if name in ("event-time", "processing-time"):
+        if name in ("event-time", "processing-time", "analytics-table"):
             job.add_argument("--size", default="1 minute", help="length of a window")
         if name == "running-totals":
             job.add_argument("--on-bad-value", choices=("drop", "count_only"), default="drop")
+            job.add_argument("--mode", choices=("update", "complete"), default="update",
+                             help="publish the users that changed, or all of them")
         if name == "order-writer":
             for option in ("--orders", "--rejected"):
                 job.add_argument(option, required=True)
@@ -169,6 +228,15 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--root", required=True)
     job.add_argument("--out", required=True)
     job.add_argument("--checkpoint", required=True)
+    job.add_argument("--every", help="time between batches, such as '10 seconds'")
+    job.add_argument("--objects", action="store_true",
+                     help="put each text at processed/<name> below --out, not into a table")
+    job = jobs.add_parser("read")
+    job.add_argument("what", choices=READS)
+    job.add_argument("--path", help="the analytics table")
+    job.add_argument("--checkpoint", help="that of the running totals")
+    job.add_argument("--key", help="window or user")
+    job.add_argument("--limit", type=int, default=10)
     job = jobs.add_parser("insight")
     for option in ("--users", "--orders", "--out"):
         job.add_argument(option, required=True)
@@ -182,7 +250,12 @@ def main(argv: list[str] | None = None) -> None:
         insight_job(spark, args.users, args.orders, args.out)
         return
     if args.job == "files":
-        file_job(spark, args.root, args.out, checkpoint=args.checkpoint).awaitTermination()
+        file_job(spark, args.root, args.out, checkpoint=args.checkpoint, objects=args.objects,
+                 **({"every": args.every} if args.every else {})).awaitTermination()
+        return
+    if args.job == "read":
+        read_job(spark, args.what, path=args.path, checkpoint=args.checkpoint, key=args.key,
+                 limit=args.limit).show(args.limit, truncate=False)
         return
     source, place = _places(args)
     if args.job == "top-users":
@@ -196,7 +269,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "rejects":
         query = rejects_job(spark, source, args.out, **more)
     elif args.job == "running-totals":
-        query = running_totals_job(spark, source, place, on_bad_value=args.on_bad_value, **more)
+        query = running_totals_job(spark, source, place, on_bad_value=args.on_bad_value,
+                                   mode=args.mode, **more)
+    elif args.job == "analytics-table":
+        query = analytics_job(spark, source, args.out, size=args.size, **more)
     else:
         run = event_time_job if args.job == "event-time" else processing_time_job
         query = run(spark, source, place, size=args.size, **more)

@@ -19,11 +19,11 @@ class NumberedFiles:
     def __init__(self, spark: SparkSession, path: str):
         jvm = spark._jvm
         conf = spark._jsc.hadoopConfiguration()
-        self.path, self.name = path, jvm.org.apache.hadoop.fs.Path
-        self.context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            self.name(path).toUri() if "://" in path else self.name("file://" + path).toUri(), conf)
+        self.name = jvm.org.apache.hadoop.fs.Path
         self.fs = self.name(path).getFileSystem(conf)
-        self.flags = jvm.java.util.EnumSet.of(jvm.org.apache.hadoop.fs.CreateFlag.CREATE)
+        whole = self.fs.makeQualified(self.name(path))
+        self.path = str(whole.toString())
+        self.context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(whole.toUri(), conf)
         self.options = spark.sparkContext._gateway.new_array(
             jvm.org.apache.hadoop.fs.Options.Rename, 0)
         self.stream = jvm.org.apache.commons.io.IOUtils

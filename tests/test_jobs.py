@@ -177,3 +177,49 @@ def test_published_batches_are_one_folder_each(spark, place, tmp_path):
     read = sinks.read_batches(spark, f"{place['path']}/{topics.RESULTS_TOPIC}")
     assert [r.batch_id for r in read.select("batch_id").distinct().collect()] == [0]
     assert read.agg(F.max("offset")).first()[0] == 0
+
+
+def test_analytics_table_and_its_reads(spark, place, tmp_path):
+    out, checkpoint = str(tmp_path / "items"), str(tmp_path / "cp")
+    for second in (200, 400, 600):  # each batch closes the windows before it
+        land(spark, tmp_path, topics.ORDERS_TOPIC, json.dumps(
+            {"order_id": str(second), "user_id": "3", "price": 2, "quantity": 1,
+             "timestamp": f"2024-01-01T00:{second // 60:02}:{second % 60:02}Z"}))
+        jobs.analytics_job(spark, place, out, checkpoint=checkpoint, fold_after=2,
+                           every=None).awaitTermination()
+    table = jobs.analytics_table(spark, out)
+    assert len(table.manifest().deltas) < 2 and table.manifest().base
+    (summary,) = jobs.read_job(spark, "summary", path=out).collect()
+    assert (summary.total_orders, float(summary.total_revenue), summary.data_points) == (
+        6, 12035.0, 4)
+    recent = jobs.read_job(spark, "recent", path=out, limit=2).collect()
+    assert [r.window_start for r in recent] == ["2024-01-01T00:06:00", "2024-01-01T00:03:00"]
+    (one,) = jobs.read_job(spark, "window", path=out, key=recent[0].window_id).collect()
+    assert one.order_count == 1 and jobs.read_job(spark, "window", path=out, key="no").count() == 0
+
+
+def test_reads_of_the_running_totals(spark, place, tmp_path):
+    checkpoint = str(tmp_path / "totals")
+    jobs.running_totals_job(spark, place, place, checkpoint=checkpoint, mode="complete",
+                            every=None).awaitTermination()
+    (user,) = jobs.read_job(spark, "user", checkpoint=checkpoint, key="1").collect()
+    assert (user.total_orders, float(user.total_spent), user.is_vip) == (2, 12001.0, True)
+    vips = jobs.read_job(spark, "vips", checkpoint=checkpoint).collect()
+    assert [(r.user_id, r.rank) for r in vips] == [("1", 1)]
+
+
+def test_files_to_objects(spark, tmp_path):
+    (tmp_path / "uploads").mkdir()
+    (tmp_path / "uploads" / "a.txt").write_text("hello")
+    out = tmp_path / "out"
+    jobs.file_job(spark, str(tmp_path), str(out), checkpoint=str(tmp_path / "cp"), objects=True,
+                  every=None).awaitTermination()
+    assert "HELLO" in (out / "processed" / "a.txt").read_text()
+
+
+def test_command_line_of_the_new_jobs():
+    parse = jobs._parser().parse_args
+    assert parse(["running-totals", "--path", "p", "--checkpoint", "c", "--mode", "complete"]).mode == "complete"
+    assert parse(["files", "--root", "r", "--out", "o", "--checkpoint", "c", "--objects", "--every", "1 second"]).objects
+    assert parse(["analytics-table", "--path", "p", "--out", "o", "--checkpoint", "c"]).size == "1 minute"
+    assert parse(["read", "user", "--checkpoint", "c", "--key", "7"]).key == "7"
