@@ -7,6 +7,7 @@ small and few, such as the manifests of a table or the marks of its writes.
 from __future__ import annotations
 
 import json
+import os
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -23,7 +24,9 @@ class NumberedFiles:
         self.fs = self.name(path).getFileSystem(conf)
         whole = self.fs.makeQualified(self.name(path))
         self.path = str(whole.toString())
-        self.context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(whole.toUri(), conf)
+        uri = whole.toUri()
+        self.local = uri.getPath() if uri.getScheme() == "file" else None
+        self.context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(uri, conf)
         self.options = spark.sparkContext._gateway.new_array(
             jvm.org.apache.hadoop.fs.Options.Rename, 0)
         self.stream = jvm.org.apache.commons.io.IOUtils
@@ -50,13 +53,20 @@ class NumberedFiles:
         file = self.fs.create(staged, False)
         file.write(bytearray(json.dumps(content).encode()))
         file.close()
+        place = f"{self.path}/{number:012d}.json"
         try:
-            self.context.rename(staged, self.name(f"{self.path}/{number:012d}.json"), self.options)
+            if self.local is not None:  # a rename within a local folder would replace
+                os.link(f"{self.local}/{staged.getName()}", f"{self.local}/{number:012d}.json")
+            else:
+                self.context.rename(staged, self.name(place), self.options)
+        except FileExistsError:
+            return False
         except Py4JJavaError as error:
-            self.fs.delete(staged, False)
             if "FileAlreadyExists" not in str(error.java_exception.getClass().getName()):
                 raise
             return False
+        finally:
+            self.fs.delete(staged, False)
         return True
 
     def delete(self, path: str) -> None:

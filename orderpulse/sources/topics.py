@@ -123,7 +123,9 @@ def write_topic(rows: DataFrame, topic: str = RESULTS_TOPIC, *, servers: str | N
     """Append a batch of messages to a topic.
 
     In a landed topic each write takes the next free number, kept below ``_writes`` where
-    readers of the topic don't look, so positions never repeat over appends.
+    readers of the topic don't look, so positions never repeat over appends. Appends to one
+    landed topic must come one after another: Spark's file committer does not keep two of them
+    in one folder apart.
     """
     if (servers is None) == (path is None):
         raise ValueError("give either servers or path")
