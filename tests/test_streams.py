@@ -301,5 +301,5 @@ def test_object_sink_keeps_text(spark, tmp_path):
     rows = [("processed/x/1.txt", "\nA\r\nB\n\n"), ("processed/2.txt", "\n\n")]
     processed = spark.createDataFrame(rows, "processed_path string, processed_content string")
     files.write_processed_files(processed, str(tmp_path / "o"), objects=True, tasks=2)
-    got = spark.read.text(str(tmp_path / "o"), wholetext=True)
-    assert {(r.processed_path, r.value) for r in got.collect()} == set(rows)
+    got = files.read_text_files(spark, str(tmp_path / "o"), "processed/")
+    assert {(r.path, r.content) for r in got.collect()} == set(rows)
