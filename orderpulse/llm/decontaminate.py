@@ -1,76 +1,222 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds joined to test items, then Smith-Waterman.
 
-Every n-gram of a test item is a seed, so each intact run of SEED_WORDS words in a copy holds
-one, however the rest was edited and however often the item was copied. (Rare n-grams alone
-won't do: those across an edit are rarer than the intact ones beside them.) Where a document
-has a seed, the words around it are aligned with the whole item, and the score, as a share of
-the highest possible one, tells copies and edited copies from chance.
+Seeds. All n-grams of the test items are counted in the corpus. Of each item the cheapest set of
+n-grams that do not overlap is chosen, one more than a quarter of its words, where the cost of an
+n-gram is its count in the corpus times the items that have it. A changed, lost or added word
+spoils one of them at most, so every copy with up to a quarter of the words edited keeps a seed,
+however common the spoilt ones are. (A rarest n-gram per window has no such bound: those across
+an edit are rarer than the intact ones beside them.) N-grams that no document has are chosen
+first and cost nothing, as they are never looked for.
 
-Test items are sent to the executors in blocks of bounded size; a larger benchmark is more
-blocks, each over all documents.
+Join. Seeds are a table, and meet the n-grams of the documents in a Spark join. Tasks hold a bit
+table of fixed size that keeps n-grams of no item from the shuffle; it only saves work.
+
+Alignment. The words around a seed are aligned with the whole item. The score, as a share of the
+highest possible one, tells copies and edited copies from chance. The words around reach so far
+that no alignment over the bound is cut off.
+
+Items of fewer words than a seed are found where they are all words of a document. Null and empty
+texts, of items and documents, hold nothing; the same item twice counts once.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orderpulse.llm.common import slices, texts
+from orderpulse.llm.common import saved, slices, texts
 
 WORDS = re.compile(r"\w+")
 SEED_WORDS = 3
+#: One word in so many may be edited in a copy that surely keeps a seed.
+EDITED = 4
+#: Words of an item among which seeds are chosen at once.
+STRETCH = 64
 #: Share of the highest alignment score from which a document counts as contaminated.
 SIMILARITY = 0.5
 MATCH, MISMATCH, GAP = 2, -1, 1
-#: Characters of test items that are broadcast at once.
-BLOCK_CHARS = 8_000_000
+#: The bit table of n-grams has 2 ** BITS bits, whatever the size of the benchmark.
+BITS = 25
+#: Bits in one value of Spark's bitmap aggregate.
+BITMAP = 1 << 15
+#: Words whose hashes a task remembers.
+REMEMBERED = 1 << 18
 #: Cells of the alignment arrays that are held at once.
 CELLS = 2_000_000
 
 
-class Items:
-    """One block of test items as numbers: words, n-grams and where they stand."""
-
-    def __init__(self, rows: list[tuple[int, str]]):
-        self.ids = [item_id for item_id, _ in rows]
-        words = [WORDS.findall((text or "").lower()) for _, text in rows]
-        self.vocabulary = {w: i + 1 for i, w in enumerate(sorted(set().union(*words)))}
-        self.items = [np.array([self.vocabulary[w] for w in ws], np.int64) for ws in words]
-        self.base = len(self.vocabulary) + 1
-        found = [self.grams(item) for item in self.items]
-        self.known = np.unique(np.concatenate(found))
-        # The (item, place) of each n-gram stand together, from first[n-gram] on.
-        gram = np.concatenate([np.searchsorted(self.known, grams) for grams in found])
-        where = [(item, at) for item, grams in enumerate(found) for at in range(len(grams))]
-        self.seeds = np.array(where, np.int64).reshape(-1, 2)[np.argsort(gram, kind="stable")]
-        self.first = np.r_[0, np.cumsum(np.bincount(gram, minlength=len(self.known)))]
-
-    def grams(self, numbers: np.ndarray) -> np.ndarray:
-        """Number of the n-gram at each place, or -1 if it has a word of no item."""
-        if len(numbers) < SEED_WORDS:
-            return np.empty(0, np.int64)
-        gram, real = np.zeros(len(numbers) - SEED_WORDS + 1, np.int64), True
-        for k in range(SEED_WORDS):
-            part = numbers[k:len(gram) + k]
-            gram, real = gram * self.base + part, real & (part > 0)
-        return np.where(real, gram, -1)
-
-    def numbers(self, text: str) -> np.ndarray:
-        """Words of a text as numbers; 0 for a word of no item."""
-        get = self.vocabulary.get
-        return np.array([get(w, 0) for w in WORDS.findall(text.lower())], np.int64)
-
-    def hits(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place in the text, index in ``known``) of the n-grams that some item has."""
-        grams = self.grams(numbers)
-        at = np.flatnonzero(grams >= 0)
-        index = np.minimum(np.searchsorted(self.known, grams[at]), len(self.known) - 1)
-        same = self.known[index] == grams[at]
-        return at[same], index[same]
+class Hashes(dict):
+    """Hash of each word, remembered for a bounded number of words."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+
+def grams(words: list[str], hashes: Hashes) -> np.ndarray:
+    """Hash of the n-gram at each place; fewer words than a seed are one n-gram of their own."""
+    if not words:
+        return np.empty(0, np.int64)
+    short = SEED_WORDS - len(words)
+    each = np.fromiter((hashes[w] for w in words), np.uint64, len(words))
+    if short > 0:
+        each = np.r_[each, np.zeros(short, np.uint64)]
+    total = np.zeros(len(each) - SEED_WORDS + 1, np.uint64)
+    for k in range(SEED_WORDS):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + each[k:len(total) + k]
+        total ^= total >> np.uint64(29)
+    return total.view(np.int64)
+
+
+def words_of(text: str) -> list[str]:
+    return WORDS.findall(text.lower())
+
+
+def bit_places(gram):
+    """The two bits of an n-gram, for numpy arrays and for columns."""
+    if isinstance(gram, Column):
+        return [F.shiftrightunsigned(gram, k).bitwiseAND(F.lit((1 << BITS) - 1)) for k in (0, BITS)]
+    return [(gram.view(np.uint64) >> np.uint64(k)) & np.uint64((1 << BITS) - 1) for k in (0, BITS)]
+
+
+def bit_table(of: DataFrame) -> np.ndarray:
+    """Bits of all ``gram`` of a table; at most 2 ** BITS bits come to the driver."""
+    bits = of.select(F.explode(F.array(*bit_places(F.col("gram")))).alias("bit"))
+    rows = bits.groupBy(F.floor(F.col("bit") / BITMAP).alias("part")).agg(
+        F.bitmap_construct_agg((F.col("bit") % BITMAP)).alias("bits")).collect()
+    table = np.zeros((1 << BITS) // 8, np.uint8)
+    for row in rows:
+        at = row["part"] * (BITMAP // 8)
+        table[at:at + BITMAP // 8] = np.frombuffer(row["bits"], np.uint8)
+    return table
+
+
+def known(table: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """Whether each n-gram may be in the table."""
+    real = np.ones(len(gram), bool)
+    for bit in bit_places(gram):
+        real &= (table[(bit >> np.uint64(3)).astype(np.int64)]
+                 >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return real
+
+
+def items_of(benchmark: DataFrame) -> DataFrame:
+    """(item, item_id, words): a row for each test item; words are joined by single spaces."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1),
+                 pa.array([" ".join(words_of(t)) for t in texts(part.column(2))], pa.string())],
+                ["item", "item_id", "words"])
+    rows = benchmark.select("item_id", "text").filter(
+        "item_id is not null and text is not null").distinct()
+    rows = rows.select(F.md5(F.concat_ws(":", "item_id", "text")).alias("item"),
+                       F.col("item_id").cast("long").alias("item_id"), "text")
+    return rows.mapInArrow(run, "item string, item_id long, words string").filter("words <> ''")
+
+
+def item_grams(items: DataFrame) -> DataFrame:
+    """(item, place, gram) of all n-grams of the items."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        for part in slices(batches):
+            for item, words in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                found = grams(words.split(" "), hashes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([item] * len(found), pa.string()),
+                     pa.array(np.arange(len(found), dtype=np.int32)), pa.array(found)],
+                    ["item", "place", "gram"])
+    return items.select("item", "words").mapInArrow(run, "item string, place int, gram long")
+
+
+def gram_counts(docs: DataFrame, table) -> DataFrame:
+    """(gram, count) of the documents' n-grams that may be in the bit table."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        for part in slices(batches):
+            found = [grams(words_of(t), hashes) for t in texts(part.column(0))]
+            every = np.concatenate([g[known(table.value, g)] for g in found])
+            gram, count = np.unique(every, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(count.astype(np.int64))],
+                                             ["gram", "count"])
+    return docs.select("text").mapInArrow(run, "gram long, count long").groupBy("gram").agg(
+        F.sum("count").alias("count"))
+
+
+def cheapest(costs: list[float]) -> list[int]:
+    """Places of the n-grams to seek: of each stretch of words the cheapest that do not overlap,
+    one more than the edits that a copy may have, or as many as there is room for. Of equal
+    choices the one that ends first stays."""
+    count, n = len(costs), SEED_WORDS
+    chosen: list[int] = []
+    edges = list(range(0, count + n - 1, STRETCH))
+    if len(edges) > 1 and count + n - 1 - edges[-1] < n:
+        edges.pop()
+    for k, start in enumerate(edges):
+        stop = edges[k + 1] if k + 1 < len(edges) else count + n - 1
+        length = stop - start
+        need = max(1, min(length // n, length // EDITED + 1))
+        # best[m][i]: least cost of m n-grams within the first i words of the stretch.
+        best = np.full((need + 1, length + 1), np.inf)
+        best[0] = 0
+        for m in range(1, need + 1):
+            for i in range(n * m, length + 1):
+                best[m, i] = min(best[m, i - 1], best[m - 1, i - n] + costs[start + i - n])
+        i = length
+        for m in range(need, 0, -1):
+            while i > n * m and best[m, i - 1] <= best[m, i]:
+                i -= 1
+            i -= n
+            chosen.append(start + i)
+    return sorted(chosen)
+
+
+def _choose(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for column in arrays:
+        yield pa.array([cheapest([c["cost"] for c in sorted(row, key=lambda c: c["place"])])
+                        for row in column.to_pylist()], pa.list_(pa.int32()))
+
+
+def seeds_of(of_items: DataFrame, counts: DataFrame) -> DataFrame:
+    """(gram, item, place): seeds of the items that stand in the corpus."""
+    holders = of_items.groupBy("gram").agg(F.count_distinct("item").alias("items"))
+    cost = F.coalesce(F.col("count"), F.lit(0)).cast("double") * F.col("items")
+    priced = of_items.join(holders.join(counts, "gram", "left"), "gram").select(
+        "item", "place", "gram", cost.alias("cost"))
+    choice = priced.groupBy("item").agg(F.collect_list(F.struct("place", "cost")).alias("all"))
+    choice = choice.select("item", F.explode(F.arrow_udf(_choose, "array<int>")("all")).alias("place"))
+    return priced.filter("cost > 0").join(choice, ["item", "place"]).select("gram", "item", "place")
+
+
+def documents_with(docs: DataFrame, table) -> DataFrame:
+    """(text_key, words, hits): the texts that may hold a seed, with hits of (gram, at)."""
+    hit = pa.struct([("gram", pa.int64()), ("at", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        for part in slices(batches):
+            rows = []
+            for key, text in zip(part.column(0).to_pylist(), texts(part.column(1))):
+                words = words_of(text)
+                found = grams(words, hashes)
+                at = np.flatnonzero(known(table.value, found))
+                if len(at):
+                    rows.append((key, " ".join(words),
+                                 [{"gram": g, "at": a} for g, a in zip(found[at].tolist(), at.tolist())]))
+            keys, joined, hits = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.string()), pa.array(joined, pa.string()),
+                 pa.array(hits, pa.list_(hit))], ["text_key", "words", "hits"])
+    return docs.select(F.md5("text").alias("text_key"), "text").filter("text <> ''").mapInArrow(
+        run, "text_key string, words string, hits array<struct<gram:bigint,at:int>>")
 
 
 def align(items: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,110 +241,93 @@ def align(items: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return best, end
 
 
-def candidates(block: Items, numbers: np.ndarray) -> list[tuple[int, int, int]]:
-    """(item, first word, end) of the parts of a text that hold a seed of the item."""
-    at, gram = block.hits(numbers)
-    sizes = block.first[gram + 1] - block.first[gram]
-    if not sizes.sum():
-        return []
-    at = np.repeat(at, sizes)
-    nth = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    item, place = block.seeds[np.repeat(block.first[gram], sizes) + nth].T
-    shift = at - place
-    order = np.lexsort((shift, item))
-    found: list[list[int]] = []
-    for i, s in zip(item[order].tolist(), shift[order].tolist()):
-        slack = len(block.items[i]) // 4 + SEED_WORDS
-        if found and found[-1][0] == i and s - slack <= found[-1][3] + slack:
-            found[-1][2:] = [s + len(block.items[i]) + slack, s]
-        else:
-            found.append([i, s - slack, s + len(block.items[i]) + slack, s])
-    return [(i, max(0, a), min(len(numbers), b)) for i, a, b, _ in found]
-
-
-def matches(block: Items, texts_: list[str], similarity: float) -> list[list[tuple]]:
-    """For each text (item_id, score, words, end) of the items it holds, the best of each."""
-    numbers = [block.numbers(text) for text in texts_]
-    wanted = [(row, *c) for row, n in enumerate(numbers) for c in candidates(block, n)]
-    wanted.sort(key=lambda c: c[3] - c[2])
-    best: list[dict[int, tuple]] = [{} for _ in texts_]
+def aligned(pairs: list[tuple[list[str], list[str]]]) -> list[tuple[int, int]]:
+    """(score, place where it ends) of each pair of an item's words and a window's words."""
+    found: list[tuple[int, int]] = [(0, 0)] * len(pairs)
+    order = sorted(range(len(pairs)), key=lambda k: len(pairs[k][1]))
     at = 0
-    while at < len(wanted):
-        part, widest = [wanted[at]], max(1, wanted[at][3] - wanted[at][2])
-        for c in wanted[at + 1:at + 4096]:
-            if (len(part) + 1) * (c[3] - c[2]) > CELLS or c[3] - c[2] > 2 * widest + 16:
+    while at < len(order):
+        part, least = [order[at]], len(pairs[order[at]][1])
+        for k in order[at + 1:]:
+            width = len(pairs[k][1])
+            if (len(part) + 1) * width > CELLS or width > 2 * least + 16:
                 break
-            part.append(c)
+            part.append(k)
         at += len(part)
-        width = max(1, part[-1][3] - part[-1][2])
-        longest = max(len(block.items[c[1]]) for c in part)
-        items = np.full((len(part), longest), -2, np.int64)
-        windows = np.full((len(part), width), -1, np.int64)
-        for k, (row, item, a, b) in enumerate(part):
-            items[k, :len(block.items[item])] = block.items[item]
-            windows[k, :b - a] = numbers[row][a:b]
-        value, end = align(items, windows)
-        for (row, item, a, _), v, e in zip(part, value.tolist(), end.tolist()):
-            share = v / (MATCH * len(block.items[item]))
-            if share >= similarity and share > best[row].get(item, (0, 0.0))[1]:
-                best[row][item] = (block.ids[item], share, len(block.items[item]), a + e + 1)
-    return [list(found.values()) for found in best]
-
-
-def blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """Test items in blocks of about BLOCK_CHARS characters. Rows without item_id or without
-    as many words as a seed are no test items; the same row twice counts once."""
-    items = benchmark.select("item_id", "text").filter(
-        "item_id is not null and text is not null").distinct()
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    count = -(-total // BLOCK_CHARS)
-    for k in range(count):
-        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
-        rows = [(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()]
-        rows = [(i, t) for i, t in rows if len(WORDS.findall(t.lower())) >= SEED_WORDS]
-        if rows:
-            yield rows
-
-
-LEAK = "array<struct<item_id:bigint,score:double,words:int,end_word:int>>"
-
-
-def _leak_arrays(seeds, similarity: float):
-    names = ("item_id", "score", "words", "end_word")
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()),
-                               ("words", pa.int32()), ("end_word", pa.int32())]))
-
-    def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in arrays:
-            found: list = []
-            for part in slices(iter([pa.RecordBatch.from_arrays([column], ["text"])])):
-                found += matches(seeds.value, texts(part.column(0)), similarity)
-            yield pa.array([[dict(zip(names, m)) for m in row] for row in found], kind)
-    return run
-
-
-def leaks_in(text: Column, benchmark: DataFrame, similarity: float = SIMILARITY) -> Column:
-    """The test items that the whole text holds, with the alignment score as a share of the
-    highest, the words of the item, and the word of the text where the alignment ends. Copies
-    with SEED_WORDS intact words in a row are looked at. Null and empty texts hold none.
-    """
-    spark, found = benchmark.sparkSession, [F.expr(f"cast(array() as {LEAK})")]
-    for rows in blocks_of(benchmark):
-        seeds = spark.sparkContext.broadcast(Items(rows))
-        found.append(F.arrow_udf(_leak_arrays(seeds, similarity), LEAK)(text))
-    return found[0] if len(found) == 1 else found[1] if len(found) == 2 else F.concat(*found[1:])
+        number: dict[str, int] = {}
+        items = np.full((len(part), max(len(pairs[k][0]) for k in part)), -2, np.int64)
+        windows = np.full((len(part), len(pairs[part[-1]][1])), -1, np.int64)
+        for row, k in enumerate(part):
+            for target, words in zip((items, windows), pairs[k]):
+                target[row, :len(words)] = [number.setdefault(w, len(number)) for w in words]
+        score, end = align(items, windows)
+        for k, s, e in zip(part, score.tolist(), end.tolist()):
+            found[k] = (s, e)
+    return found
+
+
+def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches):
+        key, item, start, window, words = (c.to_pylist() for c in part.columns)
+        pairs = [(w.split(" "), around) for w, around in zip(words, window)]
+        found = aligned(pairs)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key, pa.string()), pa.array(item, pa.string()),
+             pa.array([s / (MATCH * len(w)) for (s, _), (w, _) in zip(found, pairs)], pa.float64()),
+             pa.array([a + e + 1 for a, (_, e) in zip(start, found)], pa.int32())],
+            ["text_key", "item", "score", "end_word"])
+
+
+def leaking_texts(docs: DataFrame, benchmark: DataFrame,
+                  similarity: float = SIMILARITY) -> DataFrame:
+    """(text_key, item_id, score, words, end_word): a row for each different text, by its digest,
+    and test item that it holds. Of several copies in a text the best counts, then the first."""
+    spark = docs.sparkSession
+    items = saved(items_of(benchmark), "test-items")
+    of_items = saved(item_grams(items), "test-grams")
+    table = spark.sparkContext.broadcast(bit_table(of_items))
+    seeds = saved(seeds_of(of_items, gram_counts(docs, table)), "seeds")
+    table = spark.sparkContext.broadcast(bit_table(seeds))
+    found = saved(documents_with(docs, table), "seeded-texts")
+
+    sized = items.select("item", F.size(F.split("words", " ")).alias("length"))
+    # Gaps use up the score, so an alignment over the bound reaches no further than this.
+    reach = F.ceil(F.col("length") * MATCH * (1 - similarity) / GAP).cast("int")
+    band = F.greatest(F.floor(F.col("length") / 2), F.lit(4)).cast("int")
+    hits = found.select("text_key", F.explode("hits").alias("h")).select("text_key", "h.*").distinct()
+    where = hits.join(seeds.join(sized, "item"), "gram").select(
+        "text_key", "item", (F.floor((F.col("at") - F.col("place")) / band) * band).alias("from"),
+        (F.col("length") + band).alias("span"), reach.alias("reach")).distinct()
+    start = F.greatest(F.col("from") - F.col("reach"), F.lit(0)).cast("int")
+    stop = (F.col("from") + F.col("span") + F.col("reach")).cast("int")
+    once = found.select("text_key", "words").dropDuplicates(["text_key"])
+    windows = where.join(once, "text_key").select(
+        "text_key", "item", start.alias("start"),
+        F.slice(F.split("words", " "), start + 1, stop - start).alias("window"))
+    scored = windows.join(items.select("item", "words"), "item").select(
+        "text_key", "item", "start", "window", "words").mapInArrow(
+        _scores, "text_key string, item string, score double, end_word int")
+    best = scored.filter(F.col("score") >= similarity).groupBy("text_key", "item").agg(
+        F.max(F.struct("score", (-F.col("end_word")).alias("first"))).alias("best"))
+    return saved(best.join(items.join(sized, "item"), "item").select(
+        "text_key", "item_id", "best.score", F.col("length").alias("words"),
+        (-F.col("best.first")).alias("end_word")), "leaks")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, item_id, score, words, end_word): a row for each document and test item it holds.
+    """(doc_id, item_id, score, words, end_word): a row for each document and test item it holds,
+    with the score as a share of the highest, the words of the item, and the word of the text
+    where the alignment ends.
 
     Repeated documents give repeated rows, clean ones none; a null doc_id stays null.
     """
-    found = docs.select("doc_id", leaks_in(F.col("text"), benchmark, similarity)
-                        .alias("found"))
-    return found.select("doc_id", F.explode("found").alias("m")).select("doc_id", "m.*")
+    found = leaking_texts(docs, benchmark, similarity)
+    return docs.select("doc_id", F.md5("text").alias("text_key")).join(found, "text_key").drop(
+        "text_key")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that hold no test item, with all their columns."""
-    return docs.filter(F.size(leaks_in(F.col("text"), benchmark, similarity)) == 0)
+    found = leaking_texts(docs, benchmark, similarity).select("text_key").distinct()
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.join(found, F.md5("row.text") == F.col("text_key"), "left_anti").select("row.*")

@@ -1,6 +1,7 @@
 """Operators for training data against brute force, on small tables with odd rows."""
 
 import hashlib
+import itertools
 import random
 import re
 import time
@@ -257,14 +258,88 @@ def test_copies_with_regular_edits_are_found(spark):
     assert got == sorted((doc_id, doc_id % 100) for doc_id, _ in rows)
 
 
-def test_blocks_give_the_same(spark, monkeypatch):
+def test_items_of_all_lengths(spark):
+    """Items over several stretches of words are found with a quarter of their words edited; items
+    of one or two words where they are all of a text; the same item twice counts once."""
     rng = random.Random(2)
-    items = [(k, prose(rng, 20)) for k in range(12)]
-    docs = spark.createDataFrame([(k, items[k][1]) for k in range(12)], "doc_id long, text string")
+    items = [(k, prose(rng, 20 + 25 * k)) for k in range(8)]
+    items += [(50, "Yes."), (51, "two words"), (52, "..."), (0, items[0][1]), (None, "x y z"), (53, None)]
+    rows = [(k, items[k][1]) for k in range(8)]
+    rows += [(100 + k, " ".join(f"new{i}" if i % 4 == k % 4 else w
+                                for i, w in enumerate(items[k][1].split()))) for k in range(8)]
+    rows += [(200, "yes"), (201, "yes it is two words more"), (202, "Two  words!"), (203, "..."),
+             (204, None), (205, ""), (None, items[2][1]), (2, items[2][1])]
+    docs = spark.createDataFrame([(*r, "mine", 1) for r in rows],
+                                 "doc_id long, text string, text_key string, row int")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 500)
-    got = sorted((r.doc_id, r.item_id, r.score) for r in decontaminate.leaks(docs, bench).collect())
-    assert got == [(k, k, 1.0) for k in range(12)]
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.item_id, r.words)
+                 for r in decontaminate.leaks(docs, bench).collect())
+    size = {k: 20 + 25 * k for k in range(8)} | {50: 1, 51: 2}
+    want = [(k, k) for k in range(8)] + [(100 + k, k) for k in range(8)]
+    want += [(200, 50), (202, 51), (-1, 2), (2, 2)]
+    assert got == sorted((d, i, size[i]) for d, i in want)
+    left = decontaminate.clean(docs, bench)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id, r.text_key) for r in left.collect()) == [
+        (d, "mine") for d in (201, 203, 204, 205)]
+    assert decontaminate.clean(docs.limit(0), bench).count() == 0
+    assert decontaminate.clean(docs, bench.limit(0)).count() == len(rows)
+
+
+def test_leaks_as_plain_loops(spark):
+    """Against the alignment of every item with every whole text, without seeds and windows."""
+    rng = random.Random(12)
+    items = [(k, prose(rng, rng.randint(12, 40))) for k in range(12)]
+    rows = []
+    for k in range(60):
+        words = items[k % 12][1].split()
+        for i in sorted(rng.sample(range(len(words)), rng.randint(0, len(words) // 5)), reverse=True):
+            words[i:i + 1] = rng.choice([[], ["other"], [words[i], "more"]])
+        rows.append((k, f"{prose(rng, 15)} {' '.join(words[rng.randint(0, 3):])} {prose(rng, 15)}"))
+    rows += [(100 + k, prose(rng, 60)) for k in range(20)]
+    want = set()
+    for doc_id, text in rows:
+        for item_id, item in items:
+            (score, end), = decontaminate.aligned([(item.split(), text.split())])
+            share = score / (2 * len(item.split()))
+            if share >= decontaminate.SIMILARITY:
+                want.add((doc_id, item_id, share, len(item.split()), end + 1))
+    got = decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"),
+                              spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert len(want) >= 55 and {tuple(r) for r in got} == want
+
+
+def test_seeds_are_the_rarest_that_any_edited_copy_keeps():
+    rng = random.Random(3)
+    for length in [1, 2, 3, 5, 8, 11, 13]:
+        places = max(1, length - 2)
+        costs = [float(rng.choice([0, 1, 1, 5, 1000])) for _ in range(places)]
+        need = max(1, min(length // 3, length // 4 + 1))
+        least = min(sum(costs[i] for i in some) for some in itertools.combinations(range(places), need)
+                    if all(b - a >= 3 for a, b in zip(some, some[1:])))
+        got = decontaminate.cheapest(costs)
+        assert len(got) == need and all(b - a >= 3 for a, b in zip(got, got[1:]))
+        assert sum(costs[i] for i in got) == least
+    for length in [63, 64, 65, 66, 67, 130, 5000]:
+        got = decontaminate.cheapest([1.0] * (length - 2))
+        assert all(b - a >= 3 for a, b in zip(got, got[1:])) and got[-1] <= length - 3
+        assert len(got) > length // 4
+
+
+def test_common_beginnings_cost_little(spark):
+    """Of items that all begin alike, seeds stand behind the beginning that every text holds."""
+    rng = random.Random(4)
+    start = prose(rng, 8)
+    bench = spark.createDataFrame([(k, f"{start} {prose(rng, 40)}") for k in range(300)],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(k, f"{start} {prose(rng, 30)}") for k in range(200)],
+                                 "doc_id long, text string")
+    items = decontaminate.items_of(bench)
+    grams = decontaminate.item_grams(items)
+    table = spark.sparkContext.broadcast(decontaminate.bit_table(grams))
+    seeds = decontaminate.seeds_of(grams, decontaminate.gram_counts(docs, table))
+    assert seeds.filter("place < 6").count() == 0
+    assert decontaminate.leaks(docs, bench).count() == 0
 
 
 def test_alignment():
