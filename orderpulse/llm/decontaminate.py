@@ -57,23 +57,28 @@ class Hashes(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
+        value = self[word] = xxhash.xxh64_intdigest(word) if word else 0
         return value
 
 
-def grams(words: list[str], hashes: Hashes) -> np.ndarray:
-    """Hash of the n-gram at each place; fewer words than a seed are one n-gram of their own."""
-    if not words:
-        return np.empty(0, np.int64)
-    short = SEED_WORDS - len(words)
-    each = np.fromiter((hashes[w] for w in words), np.uint64, len(words))
-    if short > 0:
-        each = np.r_[each, np.zeros(short, np.uint64)]
-    total = np.zeros(len(each) - SEED_WORDS + 1, np.uint64)
+def grams(texts_: list[list[str]], hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, hash) of all n-grams of several texts, given as words. A text of fewer words
+    than a seed is one n-gram of its own."""
+    words: list[str] = []
+    for each in texts_:
+        words += each
+        if 0 < len(each) < SEED_WORDS:
+            words += [""] * (SEED_WORDS - len(each))
+    sizes = np.array([max(len(t), SEED_WORDS) if t else 0 for t in texts_], np.int64)
+    each = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    total = np.zeros(max(0, len(each) - SEED_WORDS + 1), np.uint64)
     for k in range(SEED_WORDS):
         total = total * np.uint64(0x9E3779B97F4A7C15) + each[k:len(total) + k]
         total ^= total >> np.uint64(29)
-    return total.view(np.int64)
+    text = np.repeat(np.arange(len(sizes)), sizes)[:len(total)]
+    place = np.arange(len(total)) - np.repeat(np.cumsum(sizes) - sizes, sizes)[:len(total)]
+    whole = place <= sizes[text] - SEED_WORDS
+    return text[whole], place[whole], total[whole].view(np.int64)
 
 
 def words_of(text: str) -> list[str]:
@@ -100,12 +105,13 @@ def bit_table(of: DataFrame) -> np.ndarray:
 
 
 def known(table: np.ndarray, gram: np.ndarray) -> np.ndarray:
-    """Whether each n-gram may be in the table."""
-    real = np.ones(len(gram), bool)
+    """Places of the n-grams that may be in the table."""
+    at = np.arange(len(gram))
     for bit in bit_places(gram):
-        real &= (table[(bit >> np.uint64(3)).astype(np.int64)]
-                 >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-    return real
+        bit = bit[at]
+        at = at[(table[(bit >> np.uint64(3)).astype(np.int64)]
+                 >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+    return at
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
@@ -128,27 +134,25 @@ def item_grams(items: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for part in slices(batches):
-            for item, words in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                found = grams(words.split(" "), hashes)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([item] * len(found), pa.string()),
-                     pa.array(np.arange(len(found), dtype=np.int32)), pa.array(found)],
-                    ["item", "place", "gram"])
+            item, place, gram = grams([w.split(" ") for w in texts(part.column(1))], hashes)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(pa.array(item)), pa.array(place.astype(np.int32)),
+                 pa.array(gram)], ["item", "place", "gram"])
     return items.select("item", "words").mapInArrow(run, "item string, place int, gram long")
 
 
-def gram_counts(docs: DataFrame, table) -> DataFrame:
-    """(gram, count) of the documents' n-grams that may be in the bit table."""
+def hits_in(docs: DataFrame, table) -> DataFrame:
+    """(text_key, at, gram) of the n-grams of the documents that may be in the bit table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for part in slices(batches):
-            found = [grams(words_of(t), hashes) for t in texts(part.column(0))]
-            every = np.concatenate([g[known(table.value, g)] for g in found])
-            gram, count = np.unique(every, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(count.astype(np.int64))],
-                                             ["gram", "count"])
-    return docs.select("text").mapInArrow(run, "gram long, count long").groupBy("gram").agg(
-        F.sum("count").alias("count"))
+            text, at, gram = grams([words_of(t) for t in texts(part.column(1))], hashes)
+            found = known(table.value, gram)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(pa.array(text[found])), pa.array(at[found].astype(np.int32)),
+                 pa.array(gram[found])], ["text_key", "at", "gram"])
+    return docs.select(F.md5("text").alias("text_key"), "text").filter("text <> ''").mapInArrow(
+        run, "text_key string, at int, gram long")
 
 
 def cheapest(costs: list[float]) -> list[int]:
@@ -185,8 +189,9 @@ def _choose(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
                         for row in column.to_pylist()], pa.list_(pa.int32()))
 
 
-def seeds_of(of_items: DataFrame, counts: DataFrame) -> DataFrame:
+def seeds_of(of_items: DataFrame, hits: DataFrame) -> DataFrame:
     """(gram, item, place): seeds of the items that stand in the corpus."""
+    counts = hits.groupBy("gram").agg(F.count("*").alias("count"))
     holders = of_items.groupBy("gram").agg(F.count_distinct("item").alias("items"))
     cost = F.coalesce(F.col("count"), F.lit(0)).cast("double") * F.col("items")
     priced = of_items.join(holders.join(counts, "gram", "left"), "gram").select(
@@ -196,29 +201,6 @@ def seeds_of(of_items: DataFrame, counts: DataFrame) -> DataFrame:
     return priced.filter("cost > 0").join(choice, ["item", "place"]).select("gram", "item", "place")
 
 
-def documents_with(docs: DataFrame, table) -> DataFrame:
-    """(text_key, words, hits): the texts that may hold a seed, with hits of (gram, at)."""
-    hit = pa.struct([("gram", pa.int64()), ("at", pa.int32())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
-        for part in slices(batches):
-            rows = []
-            for key, text in zip(part.column(0).to_pylist(), texts(part.column(1))):
-                words = words_of(text)
-                found = grams(words, hashes)
-                at = np.flatnonzero(known(table.value, found))
-                if len(at):
-                    rows.append((key, " ".join(words),
-                                 [{"gram": g, "at": a} for g, a in zip(found[at].tolist(), at.tolist())]))
-            keys, joined, hits = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.string()), pa.array(joined, pa.string()),
-                 pa.array(hits, pa.list_(hit))], ["text_key", "words", "hits"])
-    return docs.select(F.md5("text").alias("text_key"), "text").filter("text <> ''").mapInArrow(
-        run, "text_key string, words string, hits array<struct<gram:bigint,at:int>>")
-
-
 def align(items: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Best Smith-Waterman score of each row of ``items`` in its row of ``windows``, and the
     place in the window where it ends. Negative numbers match nothing."""
@@ -278,6 +260,13 @@ def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["text_key", "item", "score", "end_word"])
 
 
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches):
+        yield pa.RecordBatch.from_arrays(
+            [part.column(0), pa.array([words_of(t) for t in texts(part.column(1))],
+                                      pa.list_(pa.string()))], ["text_key", "all_words"])
+
+
 def leaking_texts(docs: DataFrame, benchmark: DataFrame,
                   similarity: float = SIMILARITY) -> DataFrame:
     """(text_key, item_id, score, words, end_word): a row for each different text, by its digest,
@@ -286,24 +275,24 @@ def leaking_texts(docs: DataFrame, benchmark: DataFrame,
     items = saved(items_of(benchmark), "test-items")
     of_items = saved(item_grams(items), "test-grams")
     table = spark.sparkContext.broadcast(bit_table(of_items))
-    seeds = saved(seeds_of(of_items, gram_counts(docs, table)), "seeds")
-    table = spark.sparkContext.broadcast(bit_table(seeds))
-    found = saved(documents_with(docs, table), "seeded-texts")
+    hits = saved(hits_in(docs, table), "seed-hits")
 
     sized = items.select("item", F.size(F.split("words", " ")).alias("length"))
     # Gaps use up the score, so an alignment over the bound reaches no further than this.
     reach = F.ceil(F.col("length") * MATCH * (1 - similarity) / GAP).cast("int")
     band = F.greatest(F.floor(F.col("length") / 2), F.lit(4)).cast("int")
-    hits = found.select("text_key", F.explode("hits").alias("h")).select("text_key", "h.*").distinct()
-    where = hits.join(seeds.join(sized, "item"), "gram").select(
+    where = saved(hits.join(seeds_of(of_items, hits).join(sized, "item"), "gram").select(
         "text_key", "item", (F.floor((F.col("at") - F.col("place")) / band) * band).alias("from"),
-        (F.col("length") + band).alias("span"), reach.alias("reach")).distinct()
+        (F.col("length") + band).alias("span"), reach.alias("reach")).distinct(), "seeded-parts")
     start = F.greatest(F.col("from") - F.col("reach"), F.lit(0)).cast("int")
     stop = (F.col("from") + F.col("span") + F.col("reach")).cast("int")
-    once = found.select("text_key", "words").dropDuplicates(["text_key"])
-    windows = where.join(once, "text_key").select(
+    whole = docs.select(F.md5("text").alias("text_key"), "text").join(
+        where.select("text_key").distinct(), "text_key", "left_semi")
+    whole = whole.dropDuplicates(["text_key"]).mapInArrow(
+        _words, "text_key string, all_words array<string>")
+    windows = where.join(whole, "text_key").select(
         "text_key", "item", start.alias("start"),
-        F.slice(F.split("words", " "), start + 1, stop - start).alias("window"))
+        F.slice("all_words", start + 1, stop - start).alias("window"))
     scored = windows.join(items.select("item", "words"), "item").select(
         "text_key", "item", "start", "window", "words").mapInArrow(
         _scores, "text_key string, item string, score double, end_word int")

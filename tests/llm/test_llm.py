@@ -337,7 +337,7 @@ def test_common_beginnings_cost_little(spark):
     items = decontaminate.items_of(bench)
     grams = decontaminate.item_grams(items)
     table = spark.sparkContext.broadcast(decontaminate.bit_table(grams))
-    seeds = decontaminate.seeds_of(grams, decontaminate.gram_counts(docs, table))
+    seeds = decontaminate.seeds_of(grams, decontaminate.hits_in(docs, table))
     assert seeds.filter("place < 6").count() == 0
     assert decontaminate.leaks(docs, bench).count() == 0
 
