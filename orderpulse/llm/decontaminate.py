@@ -9,7 +9,8 @@ an edit are rarer than the intact ones beside them.) N-grams that no document ha
 first and cost nothing, as they are never looked for.
 
 Join. Seeds are a table, and meet the n-grams of the documents in a Spark join. Tasks hold a bit
-table of fixed size that keeps n-grams of no item from the shuffle; it only saves work.
+table of fixed size that keeps n-grams of no item, and later texts without a seed, from the
+shuffle; it only saves work.
 
 Alignment. The words around a seed are aligned with the whole item. The score, as a share of the
 highest possible one, tells copies and edited copies from chance. The words around reach so far
@@ -260,11 +261,18 @@ def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["text_key", "item", "score", "end_word"])
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
-        yield pa.RecordBatch.from_arrays(
-            [part.column(0), pa.array([words_of(t) for t in texts(part.column(1))],
-                                      pa.list_(pa.string()))], ["text_key", "all_words"])
+def words_with(docs: DataFrame, table) -> DataFrame:
+    """(text_key, all_words) of the texts whose key may be in the bit table."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            part = part.take(pa.array(known(table.value, part.column(2).to_numpy())))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([words_of(t) for t in texts(part.column(1))],
+                                          pa.list_(pa.string()))], ["text_key", "all_words"])
+    key = F.md5("text").alias("text_key")
+    return docs.select(key, "text").filter("text <> ''").select(
+        "text_key", "text", F.xxhash64("text_key").alias("bits")).mapInArrow(
+        run, "text_key string, all_words array<string>")
 
 
 def leaking_texts(docs: DataFrame, benchmark: DataFrame,
@@ -286,10 +294,9 @@ def leaking_texts(docs: DataFrame, benchmark: DataFrame,
         (F.col("length") + band).alias("span"), reach.alias("reach")).distinct(), "seeded-parts")
     start = F.greatest(F.col("from") - F.col("reach"), F.lit(0)).cast("int")
     stop = (F.col("from") + F.col("span") + F.col("reach")).cast("int")
-    whole = docs.select(F.md5("text").alias("text_key"), "text").join(
-        where.select("text_key").distinct(), "text_key", "left_semi")
-    whole = whole.dropDuplicates(["text_key"]).mapInArrow(
-        _words, "text_key string, all_words array<string>")
+    table = spark.sparkContext.broadcast(bit_table(
+        where.select(F.xxhash64("text_key").alias("gram"))))
+    whole = words_with(docs, table).dropDuplicates(["text_key"])
     windows = where.join(whole, "text_key").select(
         "text_key", "item", start.alias("start"),
         F.slice("all_words", start + 1, stop - start).alias("window"))
