@@ -100,12 +100,14 @@ def stream_user_window_counts_1m(spark, d):
 @query("stream_timed_window_counts", with_(EV) + """
 SELECT user_id, count(*) AS order_count, true AS each_window_once FROM ev GROUP BY user_id""")
 def stream_timed_window_counts(spark, d):
-    # Three files, a batch each; the last windows close by their timers, as no row follows.
+    # Three writes, a batch each; the last windows close by their timers, as no row follows.
     events = fx.order_events(spark, d)
     landed, path = fresh_path(spark, "events"), fresh_path(spark, "timed")
+    files = spark.sparkContext.defaultParallelism
     for k in range(3):
-        events.filter(F.col("arrival") % 3 == k).coalesce(1).write.mode("append").parquet(landed)
-    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+        (events.filter(F.col("arrival") % 3 == k).repartition(files)
+         .write.mode("append").parquet(landed))
+    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files)
               .parquet(landed))
     query_ = timers.append_timed_counts(stream, path, seconds=2)
     timers.run_until(spark, query_, path, events.count())

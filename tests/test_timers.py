@@ -2,6 +2,8 @@
 
 import time
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from orderpulse.session import use_defaults
@@ -49,3 +51,66 @@ def test_parts_are_merged(spark):
                                   F.timestamp_seconds(F.lit(0)).alias("window_start"),
                                   F.timestamp_seconds(F.lit(60)).alias("window_end"))
     assert [r.order_count for r in timers.merged(parts).collect()] == [28]
+
+
+class Held:
+    """A state of one key that counts the calls made to it."""
+
+    def __init__(self):
+        self.maps, self.calls = {}, 0
+
+    def getMapState(self, name, key, value):
+        held, rows = self, self.maps.setdefault(name, {})
+
+        class Map:
+            def containsKey(self, key):
+                held.calls += 1
+                return key in rows
+
+            def getValue(self, key):
+                held.calls += 1
+                return rows[key]
+
+            def updateValue(self, key, value):
+                held.calls += 1
+                rows[key] = value
+
+            def removeKey(self, key):
+                held.calls += 1
+                del rows[key]
+        return Map()
+
+    def registerTimer(self, at):
+        self.calls += 1
+
+
+class At:
+    def __init__(self, millis):
+        self.millis = millis
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.millis
+
+    def getExpiryTimeInMs(self):
+        return self.millis
+
+
+def test_calls_to_the_state_do_not_grow_with_users():
+    held, window = Held(), timers.WindowCounts(1000)
+    window.init(held)
+    rows = pd.DataFrame({"user_id": [None, *map(str, range(9000))], "orders": 2})
+    for now in (5100, 5900):
+        assert list(window.handleInputRows((1,), iter([rows, rows[:1]]), At(now))) == []
+    (out,) = window.handleExpiredTimer((1,), At(6001), At(6000))
+    assert held.calls < 40 and not any(held.maps.values())
+    counts = dict(zip(out["user_id"], out["order_count"]))
+    assert len(counts) == 9001 and counts[None] == 8 and set(map(counts.get, map(str, range(9000)))) == {4}
+    assert {(s.value // 10 ** 6, e.value // 10 ** 6)
+            for s, e in zip(out["window_start"], out["window_end"])} == {(5000, 6000)}
+
+
+def test_a_busy_user_is_counted_before_the_shuffle():
+    batch = pa.RecordBatch.from_pydict({"user_id": pa.array(["a"] * 5000 + [None, "b"])})
+    (counted,) = timers.count_users(iter([batch]))
+    assert sorted(map(str, counted.to_pylist())) == sorted(map(str, [
+        {"user_id": "a", "orders": 5000}, {"user_id": None, "orders": 1}, {"user_id": "b", "orders": 1}]))
