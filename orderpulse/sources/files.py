@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderpulse.sources.objects import put_objects
+from orderpulse.sources.objects import is_local, list_objects, put_objects, read_objects
 
 
 def read_text_files(spark: SparkSession, root: str, prefix: str = "uploads/",
@@ -14,7 +14,14 @@ def read_text_files(spark: SparkSession, root: str, prefix: str = "uploads/",
 
     As a stream it picks up new objects, at most ``max_files`` a batch. The content
     of one object is one value, since its envelope states its length before its text.
+
+    A bounded read of a folder in a file system is made for very many small objects: their
+    names are listed in a task, not in the driver, each time the rows are asked for, and dealt
+    to the tasks that read them. What Spark's reader gives no row for has none here either.
+    Streams and other stores go through Spark's reader.
     """
+    if not stream and is_local(spark, f"{root.rstrip('/')}/{prefix}"):
+        return read_objects(list_objects(spark, root, prefix), root)
     reader = spark.readStream if stream else spark.read
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

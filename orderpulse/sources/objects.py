@@ -13,20 +13,28 @@ a failed write had replaced before it failed is not brought back.
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import PurePosixPath
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 FORMAT = "orderpulse_objects"
 STAGING = "_staging"
 COLUMNS = "key string, content string"
+#: Names in a batch of a listing, and bytes of contents in a batch of a read.
+NAMES_AT_ONCE, BYTES_AT_ONCE = 4096, 4 << 20
+#: Compressions that Spark's text reader knows by the end of a name and pyarrow opens too.
+PACKED = {".gz": "gzip", ".bz2": "bz2", ".zst": "zstd"}
 
 
 def checked(key: str | None) -> str:
@@ -147,3 +155,98 @@ def clear_staging(root: str) -> None:
     """Remove what writes left that ended with their driver; none may be running."""
     store, path = fs.FileSystem.from_uri(root.rstrip("/"))
     _remove(store, f"{path}/{STAGING}")
+
+
+def _folder(path: str) -> str:
+    """The path of a folder in a file system, given as path or as file URI."""
+    return os.path.abspath(re.sub("^file:(//(?=/))?", "", path) or "/")
+
+
+def is_local(spark: SparkSession, path: str) -> bool:
+    """True for an existing folder of a file system that all tasks see."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    scheme = place.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+    return scheme == "file" and os.path.isdir(_folder(path))
+
+
+def _hidden(name: str) -> bool:
+    """What Spark's readers leave out."""
+    if name.startswith(("_metadata", "_common_metadata")):
+        return False
+    return (name.startswith("_") and "=" not in name) or name.startswith(".") \
+        or name.endswith("._COPYING_")
+
+
+def _walk(folder: str, key: str) -> Iterator[str]:
+    """Keys of the files below a folder, without a stat of each; ``key`` is that of the folder."""
+    with os.scandir(folder) as entries:
+        for entry in entries:
+            if _hidden(entry.name):
+                continue
+            if entry.is_dir():
+                yield from _walk(entry.path, f"{key}{entry.name}/")
+            else:
+                yield f"{key}{entry.name}"
+
+
+def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
+    """(key) of every object below ``prefix`` of a local ``root``. One task walks the folders;
+    it holds a batch of names at a time, and no other task or the driver holds them all."""
+    base = _folder(root).rstrip("/")
+    start = prefix.strip("/") + "/" if prefix.strip("/") else ""
+
+    def walk(batches):
+        for batch in batches:
+            names = []
+            for _ in range(batch.num_rows):
+                for key in _walk(f"{base}/{start}", start):
+                    names.append(key)
+                    if len(names) == NAMES_AT_ONCE:
+                        yield pa.RecordBatch.from_pydict({"key": pa.array(names, pa.string())})
+                        names = []
+            yield pa.RecordBatch.from_pydict({"key": pa.array(names, pa.string())})
+
+    return spark.range(0, 1, 1, 1).mapInArrow(walk, "key string")
+
+
+def _content(path: str) -> bytes:
+    """The bytes of a file, unpacked as its name tells."""
+    end = os.path.splitext(path)[1]
+    if end in (".snappy", ".lz4"):
+        raise ValueError(f"{path}: only Spark's own readers unpack {end}")
+    if end in PACKED:
+        with pa.input_stream(path, compression=PACKED[end]) as file:
+            return file.read()
+    with open(path, "rb") as file:
+        data = file.read()
+    return zlib.decompress(data) if end == ".deflate" else data
+
+
+def read_objects(keys: DataFrame, root: str) -> DataFrame:
+    """(path, content) of the objects at the keys below a local ``root``. The keys are dealt
+    evenly to tasks, as the cost is per object; an object without a byte gives no row."""
+    base = _folder(root).rstrip("/")
+
+    def read(batches):
+        for batch in batches:
+            paths, contents, size = [], [], 0
+            for key in batch.column(0).to_pylist():
+                data = _content(f"{base}/{key}")
+                if not data:
+                    continue
+                paths.append(key)
+                contents.append(data)
+                size += len(data)
+                if size >= BYTES_AT_ONCE:
+                    yield _pairs(paths, contents)
+                    paths, contents, size = [], [], 0
+            yield _pairs(paths, contents)
+
+    tasks = 4 * keys.sparkSession.sparkContext.defaultParallelism
+    found = keys.repartition(tasks, "key").mapInArrow(read, "path string, content binary")
+    return found.select("path", F.col("content").cast("string").alias("content"))
+
+
+def _pairs(paths: list[str], contents: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"path": pa.array(paths, pa.string()),
+                                       "content": pa.array(contents, pa.binary())})

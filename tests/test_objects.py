@@ -1,5 +1,6 @@
 """Objects at their own keys: what is put, what failures leave, what a second write does."""
 
+import gzip
 import os
 
 import pytest
@@ -71,3 +72,24 @@ def test_overwrite_and_other_columns_are_refused(spark, tmp_path):
 def test_empty_write(spark, tmp_path):
     objects.put_objects(rows(spark).limit(0), str(tmp_path))
     assert below(tmp_path) == []
+
+
+def test_a_read_lists_in_a_task_what_sparks_reader_lists(spark, tmp_path):
+    folder = tmp_path / "uploads" / "lang=__HIVE_DEFAULT_PARTITION__" / "_a=b"
+    folder.mkdir(parents=True)
+    (tmp_path / "uploads" / ".hidden").mkdir()
+    for name, data in (("1+%2F ü.txt", "é\r\n\n".encode()), ("empty", b""), ("_x", b"no"),
+                       ("bytes", b"\xff\xfea"), (".crc", b"no"), ("big", b"x" * 6_000_000),
+                       ("p.gz", gzip.compress(b"packed")), ("../../.hidden/y", b"no")):
+        (folder / name).write_bytes(data)
+    plain = spark.read.text(f"{tmp_path}/uploads", wholetext=True, recursiveFileLookup=True)
+    for root in (str(tmp_path), f"{tmp_path}/", f"file:{tmp_path}", f"file://{tmp_path}/"):
+        read = files.read_text_files(spark, root)
+        assert read.inputFiles() == []  # the driver holds no names
+        assert sorted(r.c for r in read.select(F.hex("content").alias("c")).collect()) == sorted(
+            r.c for r in plain.select(F.hex("value").alias("c")).collect())
+        assert {r.path.removeprefix("uploads/lang=__HIVE_DEFAULT_PARTITION__/_a=b/")
+                for r in read.select("path").collect()} == {"1+%2F ü.txt", "bytes", "big", "p.gz"}
+    assert files.read_text_files(spark, str(tmp_path), "uploads/.hidden/").count() == 1
+    with pytest.raises(PySparkException):
+        files.read_text_files(spark, str(tmp_path), "nothing/").count()
