@@ -1,5 +1,6 @@
 """The file job over all documents."""
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderpulse.functions.text import file_envelope, processed_key
@@ -8,6 +9,7 @@ from orderpulse.plans.catalog.common import FILES, query, with_
 from orderpulse.session import fresh_path
 from orderpulse.sources import files as src
 from orderpulse.sources import fixtures as fx
+from orderpulse.sources.objects import put_objects
 
 # Spark and Python write a sharp s in upper case as SS.
 UPPER = "upper(replace(content, 'ß', 'SS'))"
@@ -17,6 +19,15 @@ ENVELOPE = (f"chr(10) || '=== PROCESSED FILE ===' || chr(10) || 'Original: ' ||
 PROCESSED = "replace(path, 'uploads/', 'processed/')"
 
 
+def folder(column):
+    """``column=value`` as Spark's writers name the folder of a value."""
+    value = F.col(column).cast("string")
+    for char in '%"#\'*/:=?\\{[]^' + "".join(map(chr, [*range(1, 32), 127])):
+        value = F.replace(value, F.lit(char), F.lit(f"%{ord(char):02X}"))
+    named = F.coalesce(F.nullif(value, F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    return F.concat(F.lit(f"{column}="), named)
+
+
 @query("file_envelope", with_(FILES) + f"""
 SELECT path, {ENVELOPE} AS envelope FROM files""")
 def envelope(spark, d):
@@ -55,15 +66,20 @@ SELECT 'uploads/lang=' || lang || '/source=' || source AS folder, count(*) AS ob
        CAST(sum(length(text) + 1) AS BIGINT) AS characters
 FROM documents GROUP BY ALL""")
 def read_text_files(spark, d):
-    # One object per document; the text writer ends it with a line end.
+    # One object per document, its text and a line end. Its key is made of the row itself, with
+    # a number among equal ones, so that a task that runs again puts the same objects.
     root = fresh_path(spark, "objects")
-    (fx.table(spark, d, "documents").repartition(spark.sparkContext.defaultParallelism, "doc_id")
-     .select("lang", "source", F.col("text").alias("value"))
-     .write.option("maxRecordsPerFile", 1).partitionBy("lang", "source")
-     .text(f"{root}/uploads"))
+    docs = (fx.table(spark, d, "documents").select(
+        "doc_id", "text", F.xxhash64("text").alias("hash"),
+        F.concat_ws("/", F.lit("uploads"), folder("lang"), folder("source")).alias("at"))
+            .repartition(spark.sparkContext.defaultParallelism, "doc_id"))
+    same = W.partitionBy("doc_id", "at", "hash").orderBy("text")
+    name = F.concat_ws("-", "doc_id", F.hex("hash"), F.row_number().over(same))
+    put_objects(docs.select(F.concat("at", F.lit("/"), name, F.lit(".txt")).alias("key"),
+                            F.concat(F.coalesce("text", F.lit("")), F.lit("\n")).alias("content")),
+                root)
     read = src.read_text_files(spark, root)
-    folder = F.substring_index("path", "/", 3)
-    return read.groupBy(folder.alias("folder")).agg(
+    return read.groupBy(F.substring_index("path", "/", 3).alias("folder")).agg(
         F.count(F.lit(1)).alias("objects"),
         F.sum(F.length("content")).cast("bigint").alias("characters"))
 

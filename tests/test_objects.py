@@ -7,6 +7,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
+from orderpulse.plans.catalog import files as catalog
 from orderpulse.sources import files, objects
 
 
@@ -93,3 +95,23 @@ def test_a_read_lists_in_a_task_what_sparks_reader_lists(spark, tmp_path):
     assert files.read_text_files(spark, str(tmp_path), "uploads/.hidden/").count() == 1
     with pytest.raises(PySparkException):
         files.read_text_files(spark, str(tmp_path), "nothing/").count()
+
+
+def test_documents_are_landed_as_objects(spark, tmp_path, monkeypatch):
+    """The query puts an object per row, equal rows and odd folder names too."""
+    put = []
+    monkeypatch.setattr(catalog, "put_objects", lambda df, root: (
+        put.append([r.key for r in df.collect()]), objects.put_objects(df, root)))
+    odd = [(1, "a", "en", "s"), (1, "a", "en", "s"), (1, None, "en", "s"), (None, "", None, "s"),
+           (None, "", "", "s"), (2, "z", 'a/b%"=\x01', ""), (2, "b", 'a/b%"=\x01', "")]
+    docs = spark.createDataFrame(odd, "doc_id long, text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.folder, r.objects, r.characters)
+           for r in queries()["read_text_files"](spark, str(tmp_path)).collect()}
+    docs.withColumnRenamed("text", "value").select("lang", "source", "value").write.option(
+        "maxRecordsPerFile", 1).partitionBy("lang", "source").text(f"{tmp_path}/w/uploads")
+    plain = spark.read.text(f"{tmp_path}/w/uploads", wholetext=True, recursiveFileLookup=True)
+    at = F.regexp_extract(F.url_decode("_metadata.file_path"), "uploads/[^/]*/[^/]*", 0)
+    assert got == {tuple(r) for r in plain.groupBy(at).agg(
+        F.count("value"), F.sum(F.length("value"))).collect()}
+    assert [len(keys) for keys in put] == [len(set(put[0]))] == [len(odd)]
