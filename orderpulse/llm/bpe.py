@@ -106,15 +106,15 @@ class Trees:
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         return np.where(self.keys[at] == wanted, self.values[at], -1)
 
-    def merge_all(self, pieces: list[bytes]) -> dict[bytes, tuple[int, ...]]:
-        """Ids of each piece."""
+    def merge_all(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of each piece, as the bytes of 32-bit numbers."""
         known, by_width = {}, {}
         for piece in pieces:
             rank = self.ranks.get(piece)
             if rank is not None:
-                known[piece] = (rank,)
+                known[piece] = packed(rank)
             elif len(piece) > self.LONGEST or len(self.keys) == 0:
-                known[piece] = tuple(merge(piece, self.ranks))
+                known[piece] = packed(*merge(piece, self.ranks))
             elif piece:
                 by_width.setdefault(1 << (len(piece) - 1).bit_length(), []).append(piece)
         for width, same in by_width.items():
@@ -124,7 +124,7 @@ class Trees:
                 known.update(zip(part, self.merge_rows(part, width)))
         return known
 
-    def merge_rows(self, pieces: list[bytes], width: int) -> Iterator[tuple[int, ...]]:
+    def merge_rows(self, pieces: list[bytes], width: int) -> Iterator[bytes]:
         count = len(pieces)
         size = np.array([len(p) for p in pieces])
         raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8)
@@ -180,24 +180,33 @@ class Trees:
             live = live[at[live] < size[live]]
             alive[live, at[live]] = True
         alive = alive[:, :width]
-        ids = token[alive].tolist()
-        bounds = [0, *np.cumsum(alive.sum(1)).tolist()]
-        return (tuple(ids[a:b]) for a, b in zip(bounds, bounds[1:]))
+        ids = token[alive].astype(np.int32).tobytes()
+        bounds = [0, *(4 * np.cumsum(alive.sum(1))).tolist()]
+        return (ids[a:b] for a, b in zip(bounds, bounds[1:]))
+
+
+def packed(*ids: int) -> bytes:
+    return array("i", ids).tobytes()
 
 
 class Encoder:
     """Texts to ids. Where no two white-space characters meet, a match of the pattern never
-    goes beyond a space, so what stands between spaces is encoded apart and remembered."""
+    goes beyond a space, so what stands between spaces is encoded apart and remembered.
+    Ids are held as the bytes of 32-bit numbers, which are joined without a look at each."""
 
     double_space = re.compile(r"\s\s")
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.split, self.trees = regex.compile(pattern), Trees(ranks)
-        self.units: dict[str, tuple[int, ...]] = {}
+        self.units: dict[str, bytes] = {}
         self.chars = 0
 
-    def encode(self, texts_: list[str]) -> list[Iterator[int]]:
+    def encode(self, texts_: list[str]) -> list[memoryview]:
         """Ids of each text."""
+        return [memoryview(ids).cast("i") for ids in self.encode_packed(texts_)]
+
+    def encode_packed(self, texts_: list[str]) -> list[bytes]:
+        """Ids of each text, as the bytes of 32-bit numbers."""
         split, plain = self.split.findall, []
         for text in texts_:
             if self.double_space.search(text):
@@ -219,13 +228,12 @@ class Encoder:
         ids = {p: by_bytes[p.encode()] for p in wanted}
         starts = [i for i, piece in enumerate(pieces) if piece[0] == " "] + [len(pieces)]
         for unit, a, b in zip(usual, starts, starts[1:]):
-            self.units[unit] = ids[pieces[a]] if b == a + 1 else tuple(
-                chain.from_iterable(ids[p] for p in pieces[a:b]))
+            self.units[unit] = ids[pieces[a]] if b == a + 1 else b"".join(
+                [ids[p] for p in pieces[a:b]])
         for unit, parts in apart:
-            self.units[unit] = tuple(chain.from_iterable(ids[p] for p in parts))
+            self.units[unit] = b"".join([ids[p] for p in parts])
         get, unit_ids = ids.__getitem__, self.units.__getitem__
-        return [chain(chain.from_iterable(map(get, head)),
-                      chain.from_iterable(map(unit_ids, rest))) for head, rest in plain]
+        return [b"".join(chain(map(get, head), map(unit_ids, rest))) for head, rest in plain]
 
 
 _held: list = []
@@ -253,14 +261,11 @@ def encode_batches(ranks, pattern: str):
     def run(batches):
         encoder = _encoder(ranks, pattern)
         for batch in slices(batches):
-            gc.disable()  # the many small tuples hold no cycles
-            ids, offsets = array("i"), [0]
-            for found in encoder.encode(texts(batch.column(1))):
-                ids.extend(found)
-                offsets.append(len(ids))
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
-                                             pa.array(np.frombuffer(ids, np.int32)
-                                                      if ids else np.empty(0, np.int32)))
+            gc.disable()  # the many small objects hold no cycles
+            found = encoder.encode_packed(texts(batch.column(1)))
+            offsets = np.cumsum([0, *(len(ids) // 4 for ids in found)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(
+                np.frombuffer(b"".join(found), np.int32)))
             gc.enable()
             yield pa.RecordBatch.from_arrays([batch.column(0), lists],
                                              [batch.schema.names[0], "ids"])

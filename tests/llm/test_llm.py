@@ -705,3 +705,12 @@ def test_pipeline(spark):
     result = corpus_pipeline.run(spark, SF).collect()
     ids = [r.doc_id for r in result]
     assert 0 < len(ids) == len(set(ids)) < 200
+
+
+def test_bpe_remembers_ids_as_bytes():
+    encoder = bpe.Encoder(bpe.load_ranks(RANKS), PATTERN)
+    (ids,) = encoder.encode_packed(["one two  three " * 3 + "qzxv " * 2 + "qzxv"])
+    (again,) = encoder.encode(["one two  three " * 3 + "qzxv " * 2 + "qzxv"])
+    encoder.encode_packed(["a qzxv"])
+    assert np.frombuffer(ids, np.int32).tolist() == again.tolist()
+    assert all(isinstance(kept, bytes) and len(kept) % 4 == 0 for kept in encoder.units.values())
