@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from orderpulse.operators import running, serving, windows
 from orderpulse.operators.files import process_files
 from orderpulse.schemas import TOPIC
+from orderpulse.session import use_defaults
 from orderpulse.sources import files, results, topics
 from orderpulse.streaming import queries, sinks
 
@@ -303,3 +304,9 @@ def test_object_sink_keeps_text(spark, tmp_path):
     files.write_processed_files(processed, str(tmp_path / "o"), objects=True, tasks=2)
     got = files.read_text_files(spark, str(tmp_path / "o"), "processed/")
     assert {(r.path, r.content) for r in got.collect()} == set(rows)
+
+
+def test_the_state_store_reads_no_row_to_count_rows(spark):
+    use_defaults(spark)
+    assert spark.conf.get(
+        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows") == "false"
